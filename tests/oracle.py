@@ -58,7 +58,7 @@ def main(folder: str, names: list[str]) -> int:
     con = connect(folder)
     failed = 0
     for name, q in CATALOG.items():
-        if names and name not in names:
+        if names and name not in names and q.run.__module__.rsplit(".", 1)[-1] not in names:
             continue
         t = time.time()
         try:

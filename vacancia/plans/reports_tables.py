@@ -428,23 +428,20 @@ def _annual_sql(unknown: str) -> str:
     with_(
         q.P,
         select=f"""SELECT job_id,
-  round(COALESCE(med_salary, (min_salary + max_salary) / 2) * {_annual_sql('CASE WHEN pay_period IS NOT NULL THEN 1 END')}, 6)
+  round(COALESCE(med_salary, (min_salary + max_salary) / 2) * {_annual_sql('CASE WHEN pay_period IS NOT NULL THEN 1 END')}, 4)
     AS passed_through,
   round((min_salary + max_salary + COALESCE(med_salary, 0)) / (2 + CASE WHEN med_salary IS NULL THEN 0 ELSE 1 END)
-    * {_annual_sql('NULL')}, 6) AS known_only,
-  round(COALESCE(med_salary, (min_salary + max_salary) / 2), 6) AS stated_or_middle FROM p""",
+    * {_annual_sql('NULL')}, 4) AS known_only,
+  round(COALESCE(med_salary, (min_salary + max_salary) / 2), 8) AS stated_or_middle FROM p""",
     ),
 )
 def annualized_salaries(spark, d):
     rng = ("min_salary", "max_salary", "med_salary")
-    return rounded(
-        s.postings(spark, d).select(
-            "job_id",
-            annualize(salary_mid(*rng, "etl"), "pay_period", "passthrough").alias("passed_through"),
-            annualize(salary_mid(*rng, "clean"), "pay_period", "null").alias("known_only"),
-            F.coalesce("med_salary", salary_mid(*rng, "etl")).alias("stated_or_middle"),
-        ),
-        6,
+    return s.postings(spark, d).select(
+        "job_id",
+        F.round(annualize(salary_mid(*rng, "etl"), "pay_period", "passthrough"), 4).alias("passed_through"),
+        F.round(annualize(salary_mid(*rng, "clean"), "pay_period", "null"), 4).alias("known_only"),
+        F.round(F.coalesce("med_salary", salary_mid(*rng, "etl")), 8).alias("stated_or_middle"),
     )
 
 
