@@ -443,13 +443,13 @@ def salary_boxes(spark, d):
   round(min(v) FILTER (WHERE v BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5), 4) AS whisker_low,
   round(max(v) FILTER (WHERE v BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5), 4) AS whisker_high,
   count(*) FILTER (WHERE NOT (v BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5)) AS outliers
-FROM (SELECT l_discount, l_extendedprice / l_quantity AS v FROM lineitem) JOIN (
+FROM (SELECT l_discount, l_extendedprice AS v FROM lineitem) JOIN (
   SELECT l_discount, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
-  FROM (SELECT l_discount, l_extendedprice / l_quantity AS v FROM lineitem) GROUP BY 1) USING (l_discount)
+  FROM (SELECT l_discount, l_extendedprice AS v FROM lineitem) GROUP BY 1) USING (l_discount)
 GROUP BY l_discount, q1, median, q3""",
 )
 def discount_price_boxes(spark, d):
-    df = s.raw(spark, d, "lineitem").select("l_discount", (F.col("l_extendedprice") / F.col("l_quantity")).alias("v"))
+    df = s.raw(spark, d, "lineitem").select("l_discount", F.col("l_extendedprice").alias("v"))
     return rounded(stats.box_stats(df, "l_discount", "v"))
 
 

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vacancia.operators.keys import first_per_key, latest_per_key
+
 # (expression, column) over orders
 POSTING_COLUMNS = [
     ("o_orderkey", "job_id"),
@@ -126,6 +128,37 @@ def job_skills(spark: SparkSession, folder: str) -> DataFrame:
 SKILL_SQL = "SELECT l_orderkey AS job_id, p_brand AS skill_abr FROM lineitem JOIN part ON p_partkey = l_partkey"
 
 
+def titles(spark: SparkSession, folder: str) -> DataFrame:
+    """A title per job: the name of the part on its first line."""
+    part = raw(spark, folder, "part").selectExpr("p_partkey AS l_partkey", "p_name AS title")
+    lines = raw(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    first = first_per_key(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
+    return first.join(part, "l_partkey").selectExpr("l_orderkey AS job_id", "title")
+
+
+def profile_words(spark: SparkSession, folder: str) -> DataFrame:
+    """A profile per customer: the brands of the newest order, in the customer's spelling, and the segment."""
+    orders = raw(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    newest = latest_per_key(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
+    brands = newest.join(job_skills(spark, folder).withColumnRenamed("job_id", "o_orderkey"), "o_orderkey")
+    words = brands.selectExpr("o_custkey AS profile_id", "upper(skill_abr) AS skill")
+    segments = raw(spark, folder, "customer").selectExpr("c_custkey AS profile_id", "c_mktsegment AS skill")
+    return words.unionByName(segments)
+
+
+PROFILE_SQL = """words AS (
+  SELECT o_custkey AS profile_id, upper(p_brand) AS skill FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders)
+  JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE rn = 1
+  UNION ALL SELECT c_custkey, c_mktsegment FROM customer),
+mapped AS (
+  SELECT profile_id, p_brand AS skill_name FROM words JOIN part ON upper(p_brand) = upper(skill)
+  UNION SELECT profile_id, 'Brand#7' FROM words WHERE lower(skill) LIKE '%build%' OR lower(skill) LIKE '%house%')"""
+
+# What the customers' segment words stand for.
+PROFILE_ALIASES = {"Brand#7": ["build", "house"]}
+
+
 def skills(spark: SparkSession, folder: str) -> DataFrame:
     return raw(spark, folder, "part").selectExpr("p_brand AS skill_abr", "p_brand AS skill_name").distinct()
 
