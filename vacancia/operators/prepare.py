@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vacancia.functions import as_category
 from vacancia.operators.ranks import first_by_hash, key_hash, quantiles
-from vacancia.operators.text import stop_list, tokens, vocabulary
+from vacancia.operators.text import stop_list, vocabulary, with_tokens
 
 
 def split(df: DataFrame, keys: Sequence[str], test_share: float, seed: int, stratify: str | None = None):
@@ -193,9 +193,8 @@ def _prepared(df: DataFrame, spec: FeatureSpec, median, mean, std) -> DataFrame:
     for c in spec.numbers:
         filled = F.coalesce(F.col(c).cast("double"), F.lit(median.get(c, 0.0)))
         cols[f"_n_{c}"] = (filled - F.lit(mean[c])) / F.lit(std[c] or 1.0)
-    if spec.text:
-        cols["_t"] = tokens(F.col(spec.text), spec.accents, spec.ngrams, spec.stop_words)
-    return df.withColumns(cols)
+    df = df.withColumns(cols)
+    return with_tokens(df, spec.text, "_t", spec.accents, spec.ngrams, spec.stop_words) if spec.text else df
 
 
 def _text_vector(df: DataFrame, f: Features) -> DataFrame:
@@ -234,7 +233,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec) -> Features:
     std = {c: stats[c]["std"] for c in spec.numbers}
     terms, idf = [], []
     if spec.text:
-        docs = train.select(tokens(F.col(spec.text), spec.accents, spec.ngrams, spec.stop_words).alias("_t"))
+        docs = with_tokens(train.select(spec.text), spec.text, "_t", spec.accents, spec.ngrams, spec.stop_words)
         rows = vocabulary(docs, "_t", spec.max_features).orderBy("term_no").collect()  # max_features rows
         terms, idf = [r["term"] for r in rows], [r["idf"] for r in rows]
     ready = _prepared(train, spec, median, mean, std)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import cache
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,34 +31,51 @@ def _accent_table() -> tuple[str, str, dict[str, str]]:
     return "".join(one_from), "".join(one_to), many
 
 
-def strip_accents(c: Column) -> Column:
-    """Drop accents. Ligatures are spelled out only in texts that hold one."""
+def strip_accents(df: DataFrame, col: str) -> DataFrame:
+    """Drop accents from a text column. Letters that become several are spelled out only where they occur."""
     one_from, one_to, many = _accent_table()
-    spelled = c
+    spelled = F.col(col)
     for ch, plain in many.items():
         spelled = F.replace(spelled, F.lit(ch), F.lit(plain))
-    c = F.when(F.rlike(c, F.lit("[" + "".join(many) + "]")), spelled).otherwise(c)
-    c = F.translate(c, one_from, one_to)
-    return F.regexp_replace(c, r"\p{M}", "")
+    special = F.rlike(col, F.lit("[" + "".join(many) + "]"))
+    plain = F.translate(F.when(special, spelled).otherwise(F.col(col)), one_from, one_to)
+    return df.withColumn(col, F.regexp_replace(plain, r"\p{M}", ""))
 
 
-def tokens(text: Column, accents: bool = True, ngrams: tuple[int, int] = (1, 1), stop_words: Sequence[str] = ()):
-    """Lower-case words of two or more letters or digits, then the n-grams over them, as one array."""
-    text = F.lower(F.coalesce(text, F.lit("")))
+def _joined(fields: Sequence[str]):
+    return lambda gram: F.concat_ws(" ", *(gram[f] for f in fields))
+
+
+def with_tokens(
+    df: DataFrame,
+    text_col: str,
+    name: str,
+    accents: bool = True,
+    ngrams: tuple[int, int] = (1, 1),
+    stop_words: Sequence[str] = (),
+) -> DataFrame:
+    """Adds lower-case words of two or more letters or digits, then the n-grams over them, as one array.
+
+    Each step is a column of its own, so the text is cut once per row however often the words are used.
+    """
+    out = df.withColumn(name, F.lower(F.coalesce(F.col(text_col), F.lit(""))))
     if accents:
-        text = strip_accents(text)
-    words = F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1))
+        out = strip_accents(out, name)
+    out = out.withColumn(name, F.regexp_extract_all(name, F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1)))
     if stop_words:
-        words = F.filter(words, lambda w: ~w.isin(*stop_words))
+        out = out.withColumn(name, F.filter(name, lambda w: ~w.isin(*stop_words)))
+    if tuple(ngrams) == (1, 1):
+        return out
     parts = []
     for n in range(ngrams[0], ngrams[1] + 1):
         if n == 1:
-            parts.append(words)
+            parts.append(F.col(name))
             continue
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        parts.append(F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+        # The n-th word of each gram stands beside the first ones; short texts give no gram.
+        shifted = [F.slice(name, F.lit(i + 1), F.greatest(F.size(name) - (n - 1), F.lit(0))) for i in range(n)]
+        zipped = F.arrays_zip(*(x.alias(f"w{i}") for i, x in enumerate(shifted)))
+        parts.append(F.transform(zipped, _joined([f"w{i}" for i in range(n)])))
+    return out.withColumn(name, F.concat(*parts))
 
 
 def stop_list(stop_words: str | Sequence[str] | None) -> list[str]:
@@ -98,8 +115,8 @@ def tfidf(
     stop_words: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """(id, term, weight): term frequency times inverse document frequency, unit length per document."""
-    toks = tokens(F.col(text_col), accents, ngrams, stop_list(stop_words))
-    docs = df.select(F.col(id_col), toks.alias("_t"))
+    docs = with_tokens(df.select(id_col, text_col), text_col, "_t", accents, ngrams, stop_list(stop_words))
+    docs = docs.select(id_col, "_t")
     vocab = vocabulary(docs, "_t", max_features)
     counted = (
         docs.select(id_col, F.explode("_t").alias("term"))
