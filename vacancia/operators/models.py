@@ -96,11 +96,11 @@ def fit_gbt(
 
 def fit_logistic(train, label, features, balanced: bool = True, c: float = 1.0, iters: int = 1000) -> Scorer:
     """L2 logistic regression with penalty 1 / C, classes weighted alike if ``balanced``."""
-    rows = balanced_weights(train, label, "_w") if balanced else train.withColumn("_w", F.lit(1.0))
-    ready = features.transform(rows).select("features", F.col(label).cast("double").alias("_y"), "_w")
-    total = ready.agg(F.sum("_w")).first()[0]
+    rows = balanced_weights(train, label, "_weight") if balanced else train.withColumn("_weight", F.lit(1.0))
+    ready = features.transform(rows).select("features", F.col(label).cast("double").alias("_y"), "_weight")
+    total = ready.agg(F.sum("_weight")).first()[0]
     est = LogisticRegression(
-        labelCol="_y", weightCol="_w", regParam=1.0 / (c * total), standardization=False, maxIter=iters
+        labelCol="_y", weightCol="_weight", regParam=1.0 / (c * total), standardization=False, maxIter=iters
     )
     return Scorer(features, est.fit(ready), "classification")
 
@@ -108,9 +108,9 @@ def fit_logistic(train, label, features, balanced: bool = True, c: float = 1.0,
 def fit_forest_clf(
     train, label, features, trees: int = 100, depth: int = 15, balanced: bool = True, seed: int = 42
 ) -> Scorer:
-    rows = balanced_weights(train, label, "_w") if balanced else train.withColumn("_w", F.lit(1.0))
-    ready = features.transform(rows).select("features", F.col(label).cast("double").alias("_y"), "_w")
-    est = RandomForestClassifier(labelCol="_y", weightCol="_w", numTrees=trees, maxDepth=depth, seed=seed)
+    rows = balanced_weights(train, label, "_weight") if balanced else train.withColumn("_weight", F.lit(1.0))
+    ready = features.transform(rows).select("features", F.col(label).cast("double").alias("_y"), "_weight")
+    est = RandomForestClassifier(labelCol="_y", weightCol="_weight", numTrees=trees, maxDepth=depth, seed=seed)
     return Scorer(features, est.fit(ready), "classification")
 
 

@@ -85,20 +85,27 @@ def stop_list(stop_words: str | Sequence[str] | None) -> list[str]:
     return StopWordsRemover.loadDefaultStopWords(stop_words) if isinstance(stop_words, str) else list(stop_words)
 
 
+def _one_per_row(df: DataFrame, keep: Sequence[str], items: str, name: str) -> DataFrame:
+    """Array items as rows. The outer form keeps Spark from testing the array, and so cutting the text, twice."""
+    return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
+
+
 def vocabulary(docs: DataFrame, toks: str, max_features: int) -> DataFrame:
     """The most frequent terms with their smoothed inverse document frequency: (term, term_no, idf).
 
-    Ties go to the smaller term. Both counts combine map-side, no text is shuffled, and from
-    the first top-k on there are ``max_features`` rows.
+    Ties go to the smaller term. One pass: in the sorted words of a document, a word is first where
+    it differs from the one before, so rows count the term and firsts count its documents. Both
+    combine map-side and no text is shuffled.
     """
-    totals = docs.select(F.explode(toks).alias("term")).groupBy("term").agg(F.count("*").alias("total"))
-    top = top_k(totals, [F.desc("total"), "term"], max_features).select("term")
-    seen = docs.select(F.explode(F.array_distinct(toks)).alias("term"))
+    ordered = docs.select(F.array_sort(toks).alias("_s"))
+    marked = F.transform(
+        "_s", lambda x, i: F.struct(x.alias("term"), (~x.eqNullSafe(F.get("_s", i - 1))).cast("long").alias("first"))
+    )
+    rows = _one_per_row(ordered.select(marked.alias("_m")), [], "_m", "e")
+    counts = rows.groupBy("e.term").agg(F.count("*").alias("total"), F.sum("e.first").alias("df"))
     n = docs.agg(F.count("*").alias("n")).scalar()
     return (
-        seen.join(F.broadcast(top), "term")  # max_features rows
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
+        top_k(counts, [F.desc("total"), "term"], max_features)
         .withColumn("term_no", F.row_number().over(W.orderBy("term")) - 1)  # max_features rows
         .select("term", "term_no", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     )
@@ -119,7 +126,7 @@ def tfidf(
     docs = docs.select(id_col, "_t")
     vocab = vocabulary(docs, "_t", max_features)
     counted = (
-        docs.select(id_col, F.explode("_t").alias("term"))
+        _one_per_row(docs, [id_col], "_t", "term")
         .join(F.broadcast(vocab), "term")  # max_features rows
         .groupBy(id_col, "term", "idf")
         .agg(F.count("*").alias("n"))

@@ -361,8 +361,8 @@ def salary_models(spark, d):
     f = prepare.fit_features(train, _spec(SALARY_SPEC))
     fits = {
         "ridge": models.fit_ridge(train, "normalized_salary", f, alpha=10.0),
-        "rf": models.fit_forest_reg(train, "normalized_salary", f, trees=30, depth=12, leaf=2),
-        "gbt": models.fit_gbt(train, "normalized_salary", f, iters=30, depth=5, bins=255),
+        "rf": models.fit_forest_reg(train, "normalized_salary", f, trees=20, depth=10, leaf=2),
+        "gbt": models.fit_gbt(train, "normalized_salary", f, iters=20, depth=5, bins=64),
     }
     train.unpersist()
     return fits, paid, test
@@ -376,8 +376,8 @@ def plain_salary_models(spark, d):
     f = prepare.fit_features(train, _spec(PLAIN_SALARY_SPEC))
     fits = {
         "DecisionTree": models.fit_tree(train, "normalized_salary", f, depth=10),
-        "RandomForest": models.fit_forest_reg(train, "normalized_salary", f, trees=30, depth=12, leaf=1),
-        "GradientBoosting": models.fit_gbt(train, "normalized_salary", f, iters=30, step=0.1, depth=6),
+        "RandomForest": models.fit_forest_reg(train, "normalized_salary", f, trees=20, depth=10, leaf=1),
+        "GradientBoosting": models.fit_gbt(train, "normalized_salary", f, iters=20, step=0.1, depth=5),
     }
     train.unpersist()
     return fits, test
