@@ -59,13 +59,18 @@ class Scorer:
         return Scorer(Features.load(f"{path}/features"), PipelineModel.load(f"{path}/model").stages[0], **meta)
 
 
+def _ready(train: DataFrame, features: Features) -> DataFrame:
+    """The training rows with their vector; rows that carry one already (kept for several fits) stay as they are."""
+    return train if "features" in train.columns else features.transform(train)
+
+
 def fit_ridge(train: DataFrame, target: str, features: Features, alpha: float = 10.0, log_target: bool = True):
     """Least squares plus alpha times the squared coefficients, on log1p of the target.
 
     Spark scales the label before it penalizes, so alpha is scaled by the label's deviation.
     """
     label = F.log1p(target) if log_target else F.col(target)
-    ready = features.transform(train).select("features", label.alias("_y"))
+    ready = _ready(train, features).select("features", label.alias("_y"))
     n, std = ready.agg(F.count("*"), F.stddev_pop("_y")).first()
     fit = LinearRegression(
         labelCol="_y", regParam=alpha * (std or 0.0) / n, elasticNetParam=0.0, standardization=False, solver="normal"
@@ -74,7 +79,7 @@ def fit_ridge(train: DataFrame, target: str, features: Features, alpha: float =
 
 
 def _fit_reg(est, train: DataFrame, target: str, features: Features) -> Scorer:
-    ready = features.transform(train).select("features", F.col(target).alias("_y"))
+    ready = _ready(train, features).select("features", F.col(target).alias("_y"))
     return Scorer(features, est.setLabelCol("_y").fit(ready), "regression")
 
 
@@ -97,7 +102,7 @@ def fit_gbt(
 def fit_logistic(train, label, features, balanced: bool = True, c: float = 1.0, iters: int = 1000) -> Scorer:
     """L2 logistic regression with penalty 1 / C, classes weighted alike if ``balanced``."""
     rows = balanced_weights(train, label, "_weight") if balanced else train.withColumn("_weight", F.lit(1.0))
-    ready = features.transform(rows).select("features", F.col(label).cast("double").alias("_y"), "_weight")
+    ready = _ready(rows, features).select("features", F.col(label).cast("double").alias("_y"), "_weight")
     total = ready.agg(F.sum("_weight")).first()[0]
     est = LogisticRegression(
         labelCol="_y", weightCol="_weight", regParam=1.0 / (c * total), standardization=False, maxIter=iters
@@ -109,7 +114,7 @@ def fit_forest_clf(
     train, label, features, trees: int = 100, depth: int = 15, balanced: bool = True, seed: int = 42
 ) -> Scorer:
     rows = balanced_weights(train, label, "_weight") if balanced else train.withColumn("_weight", F.lit(1.0))
-    ready = features.transform(rows).select("features", F.col(label).cast("double").alias("_y"), "_weight")
+    ready = _ready(rows, features).select("features", F.col(label).cast("double").alias("_y"), "_weight")
     est = RandomForestClassifier(labelCol="_y", weightCol="_weight", numTrees=trees, maxDepth=depth, seed=seed)
     return Scorer(features, est.fit(ready), "classification")
 

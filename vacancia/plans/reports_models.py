@@ -357,8 +357,8 @@ def _spec(kw) -> prepare.FeatureSpec:
 def salary_models(spark, d):
     paid = keys.valid_salary(_model_table(spark, d), low=20_000, high=400_000)
     train, test = prepare.split(paid, ["job_id"], 0.2, 42)
-    train = train.persist()
     f = prepare.fit_features(train, _spec(SALARY_SPEC))
+    train = f.transform(train).select("normalized_salary", "features").persist()
     fits = {
         "ridge": models.fit_ridge(train, "normalized_salary", f, alpha=10.0),
         "rf": models.fit_forest_reg(train, "normalized_salary", f, trees=20, depth=10, leaf=2),
@@ -372,8 +372,8 @@ def salary_models(spark, d):
 def plain_salary_models(spark, d):
     paid = keys.valid_salary(_model_table(spark, d), low=20_000, high=400_000)
     train, test = prepare.split(paid, ["job_id"], 0.2, 42)
-    train = train.persist()
     f = prepare.fit_features(train, _spec(PLAIN_SALARY_SPEC))
+    train = f.transform(train).select("normalized_salary", "features").persist()
     fits = {
         "DecisionTree": models.fit_tree(train, "normalized_salary", f, depth=10),
         "RandomForest": models.fit_forest_reg(train, "normalized_salary", f, trees=20, depth=10, leaf=1),
@@ -388,8 +388,8 @@ def hot_models(spark, d):
     seen = _model_table(spark, d).na.drop(subset=["views"])
     seen = ft.threshold_flag(seen, "views", 8, "is_hot_job")
     train, test = prepare.split(seen, ["job_id"], 0.2, 42, stratify="is_hot_job")
-    train = train.persist()
     f = prepare.fit_features(train, _spec(HOT_SPEC))
+    train = f.transform(train).select("is_hot_job", "features").persist()
     fits = {
         "LogisticRegression": models.fit_logistic(train, "is_hot_job", f, iters=100),
         "RandomForest": models.fit_forest_clf(train, "is_hot_job", f, trees=20, depth=10),
@@ -402,8 +402,8 @@ def hot_models(spark, d):
 def disclosure_model(spark, d):
     df = _model_table(spark, d)
     train, test = prepare.split(df, ["job_id"], 0.2, 42, stratify="has_salary")
-    train = train.persist()
     f = prepare.fit_features(train, _spec(DISCLOSURE_SPEC))
+    train = f.transform(train).select("has_salary", "features").persist()
     fit = models.fit_logistic(train, "has_salary", f, iters=100)
     train.unpersist()
     return fit, test
