@@ -35,10 +35,24 @@ def test_top_matches_equal_brute_force(spark):
             got.setdefault(r["profile_id"], []).append((r["job_id"], round(r["score"], 9)))
             assert set(r["missing_skills"]) == jobs[r["job_id"]] - people[r["profile_id"]]
             assert set(r["required_skills"]) == jobs[r["job_id"]]
+        grouped = matching.top_matches(*_frames(spark, people, jobs), k, max_skills=3).select("profile_id", "job_id", "score")
+        coded = matching.top_matches(*_frames(spark, people, jobs), k).select("profile_id", "job_id", "score")
+        assert sorted(grouped.collect()) == sorted(coded.collect())
         want = _brute(people, jobs, k)
         assert {p: sorted(v, key=lambda x: (-x[1], x[0])) for p, v in got.items()} == want
 
 
+def test_more_skills_than_bits_of_a_word(spark):
+    rng = random.Random(6)
+    names = [f"s{i:03}" for i in range(150)]
+    jobs = {i: set(rng.sample(names, rng.randint(1, 20))) for i in range(120)}
+    people = {i: set(rng.sample(names, 12)) for i in range(20)}
+    got = {}
+    for r in matching.top_matches(*_frames(spark, people, jobs), 4).collect():
+        got.setdefault(r["profile_id"], []).append((r["job_id"], round(r["score"], 9)))
+    assert {p: sorted(v, key=lambda x: (-x[1], x[0])) for p, v in got.items()} == _brute(people, jobs, 4)
+
+
 def test_few_jobs_fill_with_zero_scores(spark):
     jobs = {3: {"a"}, 1: {"b"}, 2: set(), 9: {"a", "b"}}
     people = {7: {"a"}, 8: {"z"}}

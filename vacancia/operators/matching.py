@@ -110,8 +110,54 @@ def score_jobs(profile: DataFrame, jobs: DataFrame) -> DataFrame:
     ).drop("_mine")
 
 
-def top_matches(profiles: DataFrame, jobs: DataFrame, k: int) -> DataFrame:
-    """The k best jobs of every profile: (profile_id, rank, job_id, matching_score, required, missing).
+BITS = 62
+
+
+def _scored_sets(people_sets: DataFrame, job_sets: DataFrame, spread: int, max_skills: int) -> DataFrame:
+    """(pset, jset, score) for every profile set and job set with a common skill.
+
+    There are few skills, so a skill alone makes too few and too large parts: profile sets spread
+    over ``spread`` parts of each skill, job sets go to every part. With up to ``max_skills`` skills (they are
+    counted first) a set is a few integers, one bit per skill: a pair meets under every common skill,
+    counts under the first of them, and nothing is left to group. With more, pairs are grouped and counted.
+    """
+    part = F.pmod(F.xxhash64("pset"), F.lit(spread)).cast("int").alias("part")
+    left = people_sets.select("pset", F.size("have").alias("a"), part, F.explode("have").alias("skill"))
+    right = job_sets.select("jset", F.size("required_skills").alias("b"), F.explode("required_skills").alias("skill"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part")
+    known = [r["skill"] for r in right.select("skill").distinct().limit(max_skills + 1).collect()]
+    if len(known) > max_skills:
+        met = left.join(right.select("*", parts), ["skill", "part"])
+        shared = met.groupBy("pset", "jset", "a", "b").agg(F.count("*").alias("c"))
+        return shared.select("pset", "jset", jaccard(F.col("c"), F.col("a"), F.col("b")).alias("score"))
+
+    spark = people_sets.sparkSession
+    numbers = spark.createDataFrame(list(enumerate(sorted(known))), "no int, skill string")
+    words = range(-(-len(known) // BITS))
+
+    def coded(rows: DataFrame, key: str, size: str, prefix: str, extra: list[str]) -> DataFrame:
+        numbered = rows.join(F.broadcast(numbers), "skill")  # at most max_skills rows
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("no") % BITS)
+        mask = [
+            F.bit_or(F.when(F.floor(F.col("no") / BITS) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"{prefix}{w}")
+            for w in words
+        ]
+        sets = numbered.groupBy(key, size, *extra).agg(F.collect_list("no").alias("nos"), *mask)
+        return sets.select(key, size, *extra, *(f"{prefix}{w}" for w in words), F.explode("nos").alias("no"))
+
+    # Small rows, much work per row: as many parts as there are cores, whatever their size.
+    cores = spark.sparkContext.defaultParallelism
+    people = coded(left, "pset", "a", "l", ["part"]).repartition(2 * cores, "no", "part")
+    met = people.join(coded(right, "jset", "b", "r", []).select("*", parts), ["no", "part"])
+    both = [F.col(f"l{w}").bitwiseAND(F.col(f"r{w}")) for w in words]
+    first = F.coalesce(*(F.when(x != 0, F.bit_count(x.bitwiseAND(-x) - 1) + w * BITS) for w, x in zip(words, both)))
+    count = sum((F.bit_count(x) for x in both[1:]), F.bit_count(both[0])) if both else F.lit(0)
+    met = met.where(F.col("no") == first) if both else met
+    return met.select("pset", "jset", jaccard(count, F.col("a"), F.col("b")).alias("score"))
+
+
+def top_matches(profiles: DataFrame, jobs: DataFrame, k: int, spread: int = 8, max_skills: int = 992) -> DataFrame:
+    """The k best jobs of every profile: (profile_id, job_id, score, required_skills, missing_skills).
 
     ``profiles``: distinct (profile_id, skill_name). ``jobs``: job_id, required_skills.
     Ordered by score, then job id. Jobs that share nothing fill the list when better ones run out.
@@ -121,28 +167,18 @@ def top_matches(profiles: DataFrame, jobs: DataFrame, k: int) -> DataFrame:
     # A set is named by its first job; at most k jobs stand for it.
     stand_in = first_per_key(jobs.select("job_id", "required_skills"), ["required_skills"], ["job_id"], k)
     job_sets = jobs.groupBy("required_skills").agg(F.min("job_id").alias("jset"))
-    left = people_sets.select("pset", F.size("have").alias("a"), F.explode("have").alias("skill"))
-    right = job_sets.select("jset", F.size("required_skills").alias("b"), F.explode("required_skills").alias("skill"))
-    shared = left.join(right, "skill").groupBy("pset", "jset", "a", "b").agg(F.count("*").alias("c"))
-    scored = shared.select("pset", "jset", jaccard(F.col("c"), F.col("a"), F.col("b")).alias("score"))
+    scored = _scored_sets(people_sets, job_sets, spread, max_skills)
     best_sets = first_per_key(scored, ["pset"], [F.desc("score"), "jset"], k)
     members = stand_in.join(job_sets, "required_skills").select("jset", "job_id")
     positive = best_sets.join(members, "jset").select("pset", "job_id", "score")
-    best = first_per_key(positive, ["pset"], [F.desc("score"), "job_id"], k)
-    # Fewer than k jobs share a skill: 2k first jobs are enough to find the rest, k may be taken already.
+    # Zeros fill the list where fewer than k jobs share a skill. The first 2k jobs are enough, as fewer
+    # than k of them can be in the list already; such a double keeps its higher score.
     spare = jobs.select("job_id").orderBy("job_id").limit(2 * k)
     spare = spare.agg(F.array_sort(F.collect_list("job_id")).alias("s")).scalar()
-    got = best.groupBy("pset").agg(F.count("*").alias("n"), F.collect_list("job_id").alias("taken"))
-    short = (
-        people_sets.select("pset")
-        .join(got, "pset", "left")
-        .where(F.coalesce(F.col("n"), F.lit(0)) < k)
-        .select("pset", F.coalesce("taken", F.array().cast("array<bigint>")).alias("taken"))
-    )
-    fill = short.select("pset", F.explode(F.array_except(spare, F.col("taken"))).alias("job_id")).withColumn(
-        "score", F.lit(0.0)
-    )
-    ranked = first_per_key(best.unionByName(fill), ["pset"], [F.desc("score"), "job_id"], k)
+    zeros = people_sets.select("pset", F.explode(spare).alias("job_id"), F.lit(0.0).alias("score"))
+    best = first_per_key(positive, ["pset"], [F.desc("score"), "job_id"], k)
+    listed = best.unionByName(zeros).groupBy("pset", "job_id").agg(F.max("score").alias("score"))
+    ranked = first_per_key(listed, ["pset"], [F.desc("score"), "job_id"], k)
     named = people.join(people_sets, "have").select("profile_id", "have", "pset")
     out = named.join(ranked, "pset").join(stand_in.select("job_id", "required_skills"), "job_id", "left")
     return out.select(

@@ -181,6 +181,9 @@ def histogram(
         ends = rows.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     else:
         ends = quantiles(rows, "_v", {"lo": lo_q, "hi": hi_q})
+    # A constant column gets a range of 1 around its value.
+    pad = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
+    ends = ends.select((F.col("lo") - pad).alias("lo"), (F.col("hi") + pad).alias("hi"))
     span = ends.select(F.struct("lo", "hi").alias("s"))
     placed = rows.withColumn("_s", span.scalar()).where(F.col("_v").between(F.col("_s.lo"), F.col("_s.hi")))
     place = F.floor((F.col("_v") - F.col("_s.lo")) / (F.col("_s.hi") - F.col("_s.lo")) * bins)
