@@ -112,8 +112,10 @@ def top_matches_per_profile(spark, d):
     f"WITH {q.P}, {q.PRICED}, {q.JOB_SKILLS}, {s.PROFILE_SQL}, {_SCORES},"
     """
 pool AS (SELECT * FROM (
-  SELECT profile_id, normalized_salary, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, job_id) AS rn
-  FROM scores JOIN priced USING (job_id) WHERE normalized_salary > 0) WHERE rn <= 100)
+  SELECT profile_id, normalized_salary,
+    row_number() OVER (PARTITION BY profile_id ORDER BY COALESCE(score, 0) DESC, job_id) AS rn
+  FROM ms CROSS JOIN (SELECT job_id, normalized_salary FROM priced WHERE normalized_salary > 0)
+    LEFT JOIN scores USING (profile_id, job_id)) WHERE rn <= 100)
 SELECT profile_id, count(*) AS pool, round(quantile_cont(normalized_salary, 0.25), 4) AS suggested_min,
   round(quantile_cont(normalized_salary, 0.5), 4) AS suggested_median,
   round(quantile_cont(normalized_salary, 0.75), 4) AS suggested_max FROM pool GROUP BY 1""",
