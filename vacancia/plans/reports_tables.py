@@ -92,9 +92,13 @@ def company_from_fact(spark, d):
     return keys.dim_from_fact(s.postings(spark, d), "company_id", ["formatted_work_type", "views"])
 
 
-@query("schema_listing", "A8")
+@query("schema_listing", "A8 B1")
 def schema_listing(spark, d):
-    return src.data_dictionary(s.postings(spark, d), {"job_id": "Unique job posting identifier"})
+    """The dictionary of a table, with how many of its rows each column fills."""
+    df = s.postings(spark, d)
+    listed = src.data_dictionary(df, {"job_id": "Unique job posting identifier"})
+    counts = audit.column_profile(df, "postings").select("column_name", "n_rows", "missing_count")
+    return listed.join(counts, "column_name")
 
 
 # --- audit ----------------------------------------------------------------------
