@@ -263,12 +263,12 @@ def cluster_profiles(spark, d):
     "M10 F16",
     f"""WITH {_GUESSED}, b AS (SELECT min(y - pred) AS lo, max(y - pred) AS hi FROM g),
 c AS (SELECT least(CAST(floor((y - pred - lo) / (hi - lo) * 50) AS INTEGER), 49) AS bin, count(*) AS n FROM g, b GROUP BY 1)
-SELECT CAST(i AS INTEGER) AS bin, round(lo + i * ((hi - lo) / 50), 4) AS left_edge,
-  round(lo + (i + 1) * ((hi - lo) / 50), 4) AS right_edge, COALESCE(n, 0) AS n
+SELECT CAST(i AS INTEGER) AS bin, round(lo + i * ((hi - lo) / 50), 7) AS left_edge,
+  round(lo + (i + 1) * ((hi - lo) / 50), 7) AS right_edge, COALESCE(n, 0) AS n
 FROM b, range(50) r(i) LEFT JOIN c ON c.bin = i""",
 )
 def residual_histogram(spark, d):
-    return rounded(evaluate.residual_hist(_guessed(spark, d), "y", "pred"))
+    return rounded(evaluate.residual_hist(_guessed(spark, d), "y", "pred"), 7)
 
 
 @query(
@@ -287,7 +287,7 @@ def actual_vs_predicted_line(spark, d):
     "L9",
     f"""WITH {_GUESSED}, h AS (SELECT o_orderkey, y, y * 0.9 AS pred FROM g)
 SELECT * FROM (SELECT 'shifted' AS model, {_REG} FROM g UNION ALL
-  SELECT 'scaled', {_REG.replace('FROM g', 'FROM g')} FROM h) ORDER BY r2 DESC, model LIMIT 1""",
+  SELECT 'scaled', {_REG} FROM h) ORDER BY r2 DESC, model LIMIT 1""",
 )
 def champion_of_two(spark, d):
     g = _guessed(spark, d)
