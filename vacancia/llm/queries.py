@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import language, leaks, lines, pieces, simhash
+from vacancia.llm import covertree, language, leaks, lines, pieces, shards, simhash
 from vacancia.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -54,6 +54,31 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), model)
 
 
+def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shards.shard_documents(table(spark, sf_dir, "documents"))
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", none)
+
+
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covertree.top_k(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER w AS INTEGER) AS rank, d.vec_id AS vec_id,
+       CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 50 = 0
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) DESC, d.vec_id)
+QUALIFY rank <= 5
+"""
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -66,7 +91,9 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_line_runs": op3_line_runs,
     "op5_pieces": op5_pieces,
+    "op6_kd_shards": op6_kd_shards,
+    "op7_cover_tree": op7_cover_tree,
     "op8_simhash": op8_simhash,
     "op9_leaks": op9_leaks,
 }
-ORACLE = {"op3_line_runs": OP3_SQL}
+ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL}
