@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import covertree, language, leaks, lines, pieces, shards, simhash
-from vacancia.llm.common import table
+from vacancia.llm import brown, bwt, covertree, language, leaks, lines, pieces, shards, simhash
+from vacancia.llm.common import stored, table
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -49,6 +49,16 @@ FROM documents o LEFT JOIN counted c USING (doc_id) LEFT JOIN kept k USING (doc_
 """
 
 
+def op4_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(language.crc_remainder("doc_id", 7) == 2, F.lit(False))
+    learn = docs.where(~held_out)
+    counts = stored(brown.word_counts(learn), "counts")
+    model = brown.train(learn, counts)
+    out = brown.score(docs, model, counts, extra=(held_out.alias("held_out"),))
+    return out.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.model_bytes(public_tokenizers.path(TOKENIZER))
     return pieces.digests(table(spark, sf_dir, "documents"), model)
@@ -87,13 +97,41 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bwt.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# bytes as two hexadecimal digits each
+OP10_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, unnest(range(1, length(x) - 98, 2)) AS pos, x FROM d WHERE length(x) >= 100),
+s AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY substr(x, pos, 100)) AS least FROM w),
+r AS (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM s WHERE least < doc_id),
+g AS (SELECT doc_id, pos, sum(CASE WHEN before + 100 >= pos THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM r),
+p AS (SELECT doc_id, span, min(pos) AS a, max(pos) + 100 AS b FROM g GROUP BY ALL),
+k AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS from_, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS final FROM p
+),
+t AS (
+  SELECT k.doc_id, sum(b - a) / 2 AS n_removed, count(*) AS n_spans,
+         string_agg(substr(x, from_, a - from_) || CASE WHEN final THEN substr(x, b) ELSE '' END, '' ORDER BY a) AS kept
+  FROM k JOIN d USING (doc_id) GROUP BY k.doc_id
+)
+SELECT d.doc_id, CAST(length(x) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
 QUERIES = {
     "op2_language": op2_language,
     "op3_line_runs": op3_line_runs,
+    "op4_brown": op4_brown,
     "op5_pieces": op5_pieces,
     "op6_kd_shards": op6_kd_shards,
     "op7_cover_tree": op7_cover_tree,
     "op8_simhash": op8_simhash,
     "op9_leaks": op9_leaks,
+    "op10_repeats": op10_repeats,
 }
-ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL}
+ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL, "op10_repeats": OP10_SQL}
