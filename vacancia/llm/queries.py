@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import brown, bwt, covertree, language, leaks, lines, pieces, shards, simhash
+from vacancia.llm import brown, bwt, covertree, language, leaks, lines, pieces, quotes, shards, simhash
 from vacancia.llm.common import stored, table
 
 TOKENIZER = "piece_bpe_32k.model"
 
 
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(language.crc_remainder("doc_id", 3) == 1, F.lit(False))
@@ -124,6 +128,7 @@ FROM d LEFT JOIN t USING (doc_id)
 """
 
 QUERIES = {
+    "op1_quotes": op1_quotes,
     "op2_language": op2_language,
     "op3_line_runs": op3_line_runs,
     "op4_brown": op4_brown,
