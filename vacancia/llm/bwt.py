@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vacancia.llm.common import emit, stored
+from vacancia.llm.common import emit, stored, sweep
 
 LENGTH, ANCHOR = 50, 20
 SPAN = LENGTH - ANCHOR  # bytes of a window beside its anchor; an anchor owns at most SPAN + 1 windows in a row
@@ -187,13 +187,19 @@ def anchors_in(parts: list[bytes]) -> np.ndarray:
     return size - LENGTH + np.where(at <= SPAN, grams[within], np.uint64(1 << 40)).argmin(axis=1)
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc, mark, starts): places of windows to remove, packed as start and number, per text that has any."""
+def shared_pieces(docs: DataFrame) -> DataFrame:
+    """(doc, mark, at, h, gone): pieces that an earlier document has (gone) or whose anchor other pieces have too."""
     rows = owned_pieces(docs).repartition("h")
     same, anchor = Window.partitionBy("h", "e"), Window.partitionBy("h")
     judged = rows.withColumn("least", F.min("doc").over(same)).withColumn("low", F.min("e").over(anchor)).withColumn("high", F.max("e").over(anchor))
     judged = judged.withColumn("gone", F.col("gone") | (F.col("doc") > F.col("least"))).where("gone or low <> high")
-    found = stored(judged.select("doc", F.shiftright("place", 36).alias("mark"), F.col("place").bitwiseAND(F.lit((1 << 36) - 1)).alias("at"), "h", "gone"), "pieces")
+    return judged.select("doc", F.shiftright("place", 36).alias("mark"), F.col("place").bitwiseAND(F.lit((1 << 36) - 1)).alias("at"), "h", "gone")
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """(doc, mark, starts): places of windows to remove, packed as start and number, per text that has any."""
+    found = stored(shared_pieces(docs), "pieces")
+    sweep(docs.sparkSession)
 
     # pieces whose content is new but whose anchor is not: their bytes go to the anchor's group
     asked = found.where("not gone").groupBy("doc", "mark").agg(F.collect_list(F.struct("at", "h")).alias("asked"))  # of one text
@@ -240,7 +246,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
             yield expanded(held)
 
     grown = strings.repartition("h").sortWithinPartitions("h").mapInArrow(expand_groups, "doc long, mark long, at long")
-    every = found.where("gone").select("doc", "mark", "at").union(stored(grown, "grown"))
+    grown = stored(grown, "grown")
+    del asked, strings
+    sweep(docs.sparkSession)
+    every = found.where("gone").select("doc", "mark", "at").union(grown)
     return every.groupBy("doc", "mark").agg(F.collect_list("at").alias("starts"))
 
 

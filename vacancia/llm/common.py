@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,18 +30,23 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors.
 
-    The files go when the application ends. The driver's garbage is collected afterwards, so that Spark's
-    cleaner removes shuffle files of steps whose result is now in the table.
+    The files go when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Collect the driver's garbage, so that Spark's cleaner removes the shuffle files of data frames that nobody holds any
+    more: of steps whose result is in a table."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by ``stored`` that a later one has replaced."""
     spark = df.sparkSession
@@ -84,4 +90,6 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         after = stored(small.union(low).distinct(), "edges")
         discard(now)
         now = after
+        del both, low, large, small, after
+        sweep(edges.sparkSession)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

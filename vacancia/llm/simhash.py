@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import connected, discard, emit, stored, texts
+from vacancia.llm.common import connected, discard, emit, stored, sweep, texts
 
 BLOCK = 1 << 14  # shingles tallied at once
 #: The eight bits of a byte, the highest first, in eight lanes of a 64-bit word: up to 255 of them add up without a carry.
@@ -222,6 +222,8 @@ def similar_groups(rows: DataFrame, key: str, text: str = "text", shingle: int =
         edges = good if edges is None else edges.union(good)
         left = stored(met.join(good, ["node", "pivot"], "left_anti").select("list", "node"), "left")
         discard(met)
+        del heads, near, pairs
+        sweep(rows.sparkSession)
         if left.isEmpty():
             break
     star = stored(connected(edges, "node", "pivot"), "groups")
