@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -42,9 +43,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def sweep(spark: SparkSession) -> None:
     """Collect the driver's garbage, so that Spark's cleaner removes the shuffle files of data frames that nobody holds any
-    more: of steps whose result is in a table."""
-    gc.collect()
-    spark._jvm.System.gc()
+    more: of steps whose result is in a table. Twice, with a pause: the first time lets go of the query, the second of
+    what it held."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def discard(df: DataFrame) -> None:
@@ -90,6 +94,4 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         after = stored(small.union(low).distinct(), "edges")
         discard(now)
         now = after
-        del both, low, large, small, after
-        sweep(edges.sparkSession)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
