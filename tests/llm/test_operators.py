@@ -255,8 +255,10 @@ def test_keep_one(docs, rows, empty):
     by = collections.defaultdict(list)
     for i, t in rows:
         by[frozenset(grams(t))].append(i)
-    for same in by.values():  # equal shingle sets: the least id stays
-        assert len({i for i in same if i in ids}) == 1 and min(i for i in same if i is not None) in ids
+    for g, same in by.items():  # equal shingle sets: the least id stays, unless it is a copy of others too
+        near = any(g != b and (len(g & b) >= 0.8 * len(g | b)) for b in by)
+        assert {i for i in same if i in ids} <= {min(i for i in same if i is not None)}
+        assert near or any(i in ids for i in same)
     alone = {i for i, t in rows if all(i == j or not (a := grams(t)) & (b := grams(u)) or len(a & b) / len(a | b) < 0.8 for j, u in rows) and len([1 for j, _ in rows if j == i]) == 1}
     assert {i for i in alone if i is not None and i < 200} <= ids
     assert simhash.keep_one(empty).count() == 0
