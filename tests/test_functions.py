@@ -74,3 +74,11 @@ def test_experience_group_folds_case(spark):
 def test_half_even(spark):
     got = values(spark, [(0.5,), (1.5,), (2.5,)], "v double", fn.half_even(F.col("v"), 0))
     assert [g[0] for g in got] == [0.0, 2.0, 2.0]
+
+
+def test_accents_of_any_letter(spark):
+    from vacancia.operators.text import strip_accents
+
+    rows = [("ﬁnance ｅｎｇｉｎｅｅｒ",), ("Çà et là",), ("plain",), (None,), ("é 😀 ｅ",)]
+    got = [r.t for r in strip_accents(spark.createDataFrame(rows, "t string").coalesce(1), "t").collect()]
+    assert got == ["finance engineer", "Ca et la", "plain", None, "e 😀 e"]

@@ -6,10 +6,12 @@ import unicodedata
 from collections.abc import Sequence
 from functools import cache
 
+import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from vacancia.operators.keys import top_k
 
@@ -31,15 +33,30 @@ def _accent_table() -> tuple[str, str, dict[str, str]]:
     return "".join(one_from), "".join(one_to), many
 
 
+def plain_letters(text: str) -> str:
+    """Compatibility decomposition without combining marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
+@F.pandas_udf(StringType())
+def _plain(some: pd.Series) -> pd.Series:
+    return some.map(plain_letters, na_action="ignore")
+
+
 def strip_accents(df: DataFrame, col: str) -> DataFrame:
-    """Drop accents from a text column. Letters that become several are spelled out only where they occur."""
+    """Drop accents from a text column. Letters that become several are spelled out only where they occur.
+
+    Texts with letters past the tables' range, U+2200 and up, are decomposed in Python; the others are null there.
+    """
     one_from, one_to, many = _accent_table()
     spelled = F.col(col)
     for ch, plain in many.items():
         spelled = F.replace(spelled, F.lit(ch), F.lit(plain))
     special = F.rlike(col, F.lit("[" + "".join(many) + "]"))
     plain = F.translate(F.when(special, spelled).otherwise(F.col(col)), one_from, one_to)
-    return df.withColumn(col, F.regexp_replace(plain, r"\p{M}", ""))
+    beyond = F.rlike(col, F.lit(r"[^\x{0}-\x{21ff}]"))
+    near = F.regexp_replace(plain, r"\p{M}", "")
+    return df.withColumn(col, F.coalesce(_plain(F.when(beyond, F.col(col))), near))
 
 
 def _joined(fields: Sequence[str]):

@@ -12,7 +12,7 @@ from vacancia.plans import shared as q
 from vacancia.plans import standins as s
 from vacancia.plans.master import build_master
 from vacancia.plans.registry import query, rounded, with_
-from vacancia.plans.reports_tables import _scratch
+from vacancia.session import scratch_folder
 from vacancia.sources.models import load_model, save_model
 from vacancia.sources.tables import materialize
 
@@ -346,7 +346,7 @@ SEGMENT_COLS = ["normalized_salary", "skill_count", "benefit_count", "engagement
 def _model_table(spark, d):
     """The master with titles, written once: every fit and score reads it."""
     master = keys.enrich(build_master(s.tables(spark, d), "etl"), s.titles(spark, d), "job_id", ["title"])
-    return materialize(master, _scratch(spark, "master"))
+    return materialize(master, scratch_folder(spark, "master"))
 
 
 def _spec(kw) -> prepare.FeatureSpec:
@@ -514,7 +514,7 @@ def what_if_postings(spark, d):
 def reloaded_model_scores(spark, d):
     """Save the model, load it, score the table with both; the difference is none."""
     fits, paid, _ = salary_models(spark, d)
-    path = _scratch(spark, "model")
+    path = scratch_folder(spark, "model")
     save_model(fits["ridge"], path)
     both = load_model(path).predict(fits["ridge"].predict(paid, "kept"), "loaded")
     gap = F.max(F.abs(F.col("kept") - F.col("loaded")))

@@ -707,6 +707,21 @@ def bridge_job_benefit(spark, d):
     return rows.groupBy("job_id", "type").agg(F.count("*").alias("n"))
 
 
+@query(
+    "bridge_job_skill",
+    "I6 E6",
+    with_(
+        q.P, q.JOB_SKILLS,
+        select="""SELECT job_id, skill_abr, count(*) AS n FROM job_skills
+  WHERE job_id IN (SELECT job_id FROM p WHERE views IS NOT NULL) GROUP BY job_id, skill_abr""",
+    ),
+)
+def bridge_job_skill(spark, d):
+    fact = s.postings(spark, d).where(F.col("views").isNotNull())
+    rows = star.bridge(s.job_skills(spark, d), fact, "job_id", ["job_id", "skill_abr"])
+    return rows.groupBy("job_id", "skill_abr").agg(F.count("*").alias("n"))
+
+
 @query(
     "star_checks",
     "B6 B8 E7",

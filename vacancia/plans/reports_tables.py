@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from vacancia.functions import (
@@ -31,18 +28,13 @@ from vacancia.plans import shared as q
 from vacancia.plans import standins as s
 from vacancia.plans.master import clean_salaries, latest_counts
 from vacancia.plans.registry import query, rounded, with_
+from vacancia.session import scratch_folder
 from vacancia.sources import tables as src
 from vacancia.sources.schemas import SCHEMAS
 
 # --- sources ------------------------------------------------------------------
 
 
-def _scratch(spark, name: str) -> str:
-    """A new folder all executors reach: under the one the cluster names, a temporary one in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/vacancia-{name}-{uuid.uuid4().hex}"
-
-
 @query(
     "csv_round_trip",
     "A1 A2 A6",
@@ -50,7 +42,7 @@ def _scratch(spark, name: str) -> str:
 )
 def csv_round_trip(spark, d):
     """Write a table as CSV, load the folder by schema, skip the tables that are not there."""
-    folder = _scratch(spark, "csv")
+    folder = scratch_folder(spark, "csv")
     src.write_table(s.job_skills(spark, d), f"{folder}/job_skills.csv", "csv")
     found = src.load_tables(spark, folder, {"job_skills": SCHEMAS["job_skills"]}, missing="skip")
     return found["job_skills"].groupBy("job_id", "skill_abr").agg(F.count("*").alias("n"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = 8, name: str = "vacancia", memory: str = "12g") -> SparkSession:
@@ -23,13 +24,15 @@ def local_session(cores: int | str = 8, name: str = "vacancia", memory: str = "1
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared checkpoint folder.
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, under the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``; a temporary one is used only
-    where the session names none, which is the case in tests alone.
+    A local session that names none gets a temporary one; on a cluster that is an error, because
+    files in a machine's own folder are not seen by the others.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vacancia-checkpoint-"))
-    return df.checkpoint()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/vacancia-{name}-{uuid.uuid4().hex}"
