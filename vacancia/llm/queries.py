@@ -108,9 +108,9 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # bytes as two hexadecimal digits each
 OP10_SQL = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT doc_id, unnest(range(1, length(x) - 98, 2)) AS pos, x FROM d WHERE length(x) >= 100),
-s AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY substr(x, pos, 100)) AS least FROM w),
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS bytes, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, unnest(range(1, octet_length(bytes) - 48)) AS i, bytes FROM d WHERE octet_length(bytes) >= 50),
+s AS (SELECT doc_id, 2 * i - 1 AS pos, min(doc_id) OVER (PARTITION BY hash(array_slice(bytes, i, i + 49))) AS least FROM w),
 r AS (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM s WHERE least < doc_id),
 g AS (SELECT doc_id, pos, sum(CASE WHEN before + 100 >= pos THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM r),
 p AS (SELECT doc_id, span, min(pos) AS a, max(pos) + 100 AS b FROM g GROUP BY ALL),
