@@ -60,6 +60,17 @@ def test_few_jobs_fill_with_zero_scores(spark):
     assert got == [(7, -1.0, 3), (7, -0.5, 9), (7, 0, 1), (8, 0, 1), (8, 0, 2), (8, 0, 3)]
 
 
+def test_profiles_without_a_mapped_skill_are_answered(spark):
+    p, jobs = _frames(spark, {7: {"a"}}, {3: {"a"}, 1: {"b"}, 2: set()})
+    everyone = spark.createDataFrame([(7,), (8,), (8,)], "profile_id bigint")
+    best = matching.top_matches(p, jobs, 2, everyone=everyone)
+    got = sorted((r["profile_id"], -r["score"], r["job_id"], r["missing_skills"]) for r in best.collect())
+    assert got == [(7, -1.0, 3, []), (7, 0, 1, ["b"]), (8, 0, 1, ["b"]), (8, 0, 2, [])]
+    paid = jobs.withColumn("normalized_salary", F.col("job_id") * 100.0)
+    pools = {r["profile_id"]: (r["pool"], r["suggested_median"]) for r in matching.salary_suggestion(p, paid, everyone=everyone).collect()}
+    assert pools == {7: (3, 200.0), 8: (3, 200.0)}
+
+
 def test_map_skills_by_alias_and_name(spark):
     words = [(1, "Python 3"), (1, "Project Management"), (2, "Writing"), (3, "DATABASES"), (4, "cooking")]
     p = spark.createDataFrame(words, "profile_id bigint, skill string")

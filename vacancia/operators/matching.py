@@ -156,13 +156,26 @@ def _scored_sets(people_sets: DataFrame, job_sets: DataFrame, spread: int, max_s
     return met.select("pset", "jset", jaccard(count, F.col("a"), F.col("b")).alias("score"))
 
 
-def top_matches(profiles: DataFrame, jobs: DataFrame, k: int, spread: int = 8, max_skills: int = 992) -> DataFrame:
+def skill_sets(profiles: DataFrame, everyone: DataFrame | None = None) -> DataFrame:
+    """(profile_id, have): the sorted skill set of each profile; one of ``everyone`` without a mapped skill has the empty set."""
+    sets = profiles.groupBy("profile_id").agg(F.array_sort(F.collect_set("skill_name")).alias("have"))
+    if everyone is None:
+        return sets
+    empty = F.array().cast("array<string>")
+    ids = everyone.select("profile_id").distinct()
+    return ids.join(sets, "profile_id", "left").withColumn("have", F.coalesce(F.col("have"), empty))
+
+
+def top_matches(
+    profiles: DataFrame, jobs: DataFrame, k: int, spread: int = 8, max_skills: int = 992, everyone: DataFrame | None = None
+) -> DataFrame:
     """The k best jobs of every profile: (profile_id, job_id, score, required_skills, missing_skills).
 
     ``profiles``: distinct (profile_id, skill_name). ``jobs``: job_id, required_skills.
     Ordered by score, then job id. Jobs that share nothing fill the list when better ones run out.
+    ``everyone`` names the profiles to answer, those without a mapped skill too: every job scores 0 for them.
     """
-    people = profiles.groupBy("profile_id").agg(F.array_sort(F.collect_set("skill_name")).alias("have"))
+    people = skill_sets(profiles, everyone)
     people_sets = people.groupBy("have").agg(F.min("profile_id").alias("pset"))
     # A set is named by its first job; at most k jobs stand for it.
     stand_in = first_per_key(jobs.select("job_id", "required_skills"), ["required_skills"], ["job_id"], k)
@@ -190,20 +203,23 @@ def top_matches(profiles: DataFrame, jobs: DataFrame, k: int, spread: int = 8, m
     )
 
 
-def salary_suggestion(profiles: DataFrame, jobs: DataFrame, salary: str = "normalized_salary", n: int = 100):
+def salary_suggestion(
+    profiles: DataFrame, jobs: DataFrame, salary: str = "normalized_salary", n: int = 100, everyone: DataFrame | None = None
+) -> DataFrame:
     """Per profile: quartiles of the salary over its n best matches that state one; zeros if there are none.
 
-    A profile's group has at most n rows here, so the built-in percentile is enough.
+    A profile's group has at most n rows here, so the built-in percentile is enough. ``everyone`` as in ``top_matches``.
     """
     priced = jobs.where(F.col(salary) > 0)
-    pool = top_matches(profiles, priced, n).select("profile_id", "job_id")
+    pool = top_matches(profiles, priced, n, everyone=everyone).select("profile_id", "job_id")
     paid = pool.join(priced.select("job_id", salary), "job_id")
     stats = paid.groupBy("profile_id").agg(
         F.count("*").alias("pool"), F.percentile(salary, [0.25, 0.5, 0.75]).alias("q")
     )
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     return (
-        profiles.select("profile_id")
+        (profiles if everyone is None else everyone)
+        .select("profile_id")
         .distinct()
         .join(stats, "profile_id", "left")
         .select(

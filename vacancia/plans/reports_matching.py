@@ -76,8 +76,11 @@ def one_profile_scores(spark, d):
     )
 
 
+# Every profile counts, also one none of whose words names a skill (a = 0).
 _SCORES = """ds AS (SELECT DISTINCT job_id, skill_abr FROM job_skills),
-bs AS (SELECT job_id, count(*) AS b FROM ds GROUP BY 1), ms AS (SELECT profile_id, count(*) AS a FROM mapped GROUP BY 1),
+bs AS (SELECT job_id, count(*) AS b FROM ds GROUP BY 1),
+ms AS (SELECT profile_id, count(skill_name) AS a
+  FROM (SELECT DISTINCT profile_id FROM words) LEFT JOIN mapped USING (profile_id) GROUP BY 1),
 pairs AS (SELECT profile_id, job_id, count(*) AS c FROM mapped JOIN ds ON skill_abr = skill_name GROUP BY 1, 2),
 scores AS (SELECT profile_id, job_id, c / CAST(a + b - c AS DOUBLE) AS score
   FROM pairs JOIN ms USING (profile_id) JOIN bs USING (job_id))"""
@@ -86,17 +89,20 @@ scores AS (SELECT profile_id, job_id, c / CAST(a + b - c AS DOUBLE) AS score
 @query(
     "top_matches_per_profile",
     "J3 J4 J5",
-    f"WITH {q.JOB_SKILLS}, {s.PROFILE_SQL}, {_SCORES},"
+    f"WITH {q.P}, {q.JOB_SKILLS}, {s.PROFILE_SQL}, {_SCORES},"
     """
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, job_id) AS rn FROM scores)
+fill AS (SELECT profile_id, job_id, 0.0 AS score FROM ms, (SELECT job_id FROM p ORDER BY job_id LIMIT 10)),
+listed AS (SELECT profile_id, job_id, max(score) AS score
+  FROM (SELECT * FROM scores UNION ALL SELECT * FROM fill) GROUP BY 1, 2),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, job_id) AS rn FROM listed)
   WHERE rn <= 5)
 SELECT profile_id, job_id, round(score, 4) AS matching_score,
-  (SELECT string_agg(skill_abr, '|' ORDER BY skill_abr) FROM ds WHERE ds.job_id = best.job_id) AS required_skills,
+  COALESCE((SELECT string_agg(skill_abr, '|' ORDER BY skill_abr) FROM ds WHERE ds.job_id = best.job_id), '') AS required_skills,
   COALESCE((SELECT string_agg(skill_abr, '|' ORDER BY skill_abr) FROM ds WHERE ds.job_id = best.job_id AND skill_abr NOT IN
     (SELECT skill_name FROM mapped m WHERE m.profile_id = best.profile_id)), '') AS missing_skills FROM best""",
 )
 def top_matches_per_profile(spark, d):
-    best = matching.top_matches(_profiles(spark, d), _jobs(spark, d), 5)
+    best = matching.top_matches(_profiles(spark, d), _jobs(spark, d), 5, everyone=s.profile_words(spark, d))
     return best.select(
         "profile_id",
         "job_id",
@@ -121,7 +127,7 @@ SELECT profile_id, count(*) AS pool, round(quantile_cont(normalized_salary, 0.25
   round(quantile_cont(normalized_salary, 0.75), 4) AS suggested_max FROM pool GROUP BY 1""",
 )
 def salary_suggestions(spark, d):
-    return rounded(matching.salary_suggestion(_profiles(spark, d), _jobs(spark, d)))
+    return rounded(matching.salary_suggestion(_profiles(spark, d), _jobs(spark, d), everyone=s.profile_words(spark, d)))
 
 
 # --- text ---------------------------------------------------------------------------------
