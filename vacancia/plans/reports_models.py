@@ -391,7 +391,7 @@ def hot_models(spark, d):
     f = prepare.fit_features(train, _spec(HOT_SPEC))
     train = f.transform(train).select("is_hot_job", "features").persist()
     fits = {
-        "LogisticRegression": models.fit_logistic(train, "is_hot_job", f, iters=100),
+        "LogisticRegression": models.fit_logistic(train, "is_hot_job", f, iters=1000),
         "RandomForest": models.fit_forest_clf(train, "is_hot_job", f, trees=20, depth=10),
     }
     train.unpersist()
@@ -404,7 +404,7 @@ def disclosure_model(spark, d):
     train, test = prepare.split(df, ["job_id"], 0.2, 42, stratify="has_salary")
     f = prepare.fit_features(train, _spec(DISCLOSURE_SPEC))
     train = f.transform(train).select("has_salary", "features").persist()
-    fit = models.fit_logistic(train, "has_salary", f, iters=100)
+    fit = models.fit_logistic(train, "has_salary", f, iters=1000)
     train.unpersist()
     return fit, test
 
