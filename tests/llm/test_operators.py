@@ -264,6 +264,23 @@ def test_keep_one(docs, rows, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_link_lists(spark):
+    rng = random.Random(8)
+    lists = [(k, n) for k in range(30) for n in rng.sample(range(400), rng.choice([1, 2, 5, 120]))]
+    edges = {(b, a) for k in range(30) for a in (n for j, n in lists if j == k) for b in (n for j, n in lists if j == k) if a < b and (b - a in (1, 90, 170))}
+    found = simhash.link_lists(spark.createDataFrame(lists, "list long, node long"), lambda p: p.where("abs(node - pivot) in (1, 90, 170)"))
+    got = {(r.node, r.pivot) for r in found.collect()}
+
+    def roots(pairs):
+        root = {n: n for _, n in lists}
+        for _ in range(len(root)):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert {(max(p), min(p)) for p in got} <= edges and roots(got) == roots(edges)
+
+
 def test_leaks(spark, docs, empty):
     rng = random.Random(9)
     items = [(i, " ".join(f"{rng.choice('bcdfg')}{rng.randint(100, 999)}" for _ in range(rng.choice([12, 30, 90]))) + ". Short answer " + str(i) + ".") for i in range(30)]

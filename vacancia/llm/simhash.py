@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -173,14 +173,48 @@ def jaccard(a: str | None, b: str | None, shingle: int) -> float:
     return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
+def link_lists(lists: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges (node, pivot) that connect every two nodes that stand in one list and are alike; alike need not be transitive.
+
+    ``lists`` has (list, node); ``alike`` keeps those of the distinct pairs (node, pivot) that are. Each list is searched breadth-first
+    from several members at once: pivots meet all members not reached yet, those found alike are the next round's pivots,
+    with the label of the search that reached them. Pivots of different labels meet too, those of one label are connected already.
+    The number of members a search begins from grows, so the rounds are about the logarithm of a list's length and a search's depth.
+    """
+    spark = lists.sparkSession
+    left, edges, many = stored(lists.withColumn("label", F.lit(None).cast("long")), "left"), None, 1
+    while True:
+        new = F.col("label").isNull()
+        heads = left.groupBy("list").agg(
+            F.min(F.when(new, F.col("node"))).alias("first"), F.count(F.when(new, 1)).alias("n"), F.count("*").alias("all"), F.min("label").alias("low"), F.max("label").alias("high")
+        )
+        heads = heads.where("all > 1 and (n > 0 or low < high)")
+        begins = F.expr(f"label is not null or node = first or pmod(xxhash64(list, node), greatest(n div {many}, 1)) = 0") if many > 1 else F.expr("label is not null or node = first")
+        marked = stored(left.join(heads, "list").select("list", "node", F.coalesce("label", "node").alias("label"), begins.alias("begins")), "marked")
+        discard(left)
+        if marked.isEmpty():
+            return edges if edges is not None else marked.select("node", F.col("node").alias("pivot"))
+        pivots = marked.where("begins").select("list", F.col("node").alias("pivot"), F.col("label").alias("of"))
+        met = marked.join(pivots, "list").where("node <> pivot and (not begins or (node > pivot and label <> of))")
+        met = stored(met.select("list", "node", "pivot", "of", "begins"), "met")
+        good = stored(alike(met.select("node", "pivot").distinct()), "alike")
+        edges = good if edges is None else edges.union(good)
+        reached = met.where("not begins").join(good, ["node", "pivot"]).groupBy("list", "node").agg(F.min("of").alias("label"))
+        left = stored(marked.where("not begins").select("list", "node").join(reached, ["list", "node"], "left").select("list", "node", "label"), "left")
+        discard(met)
+        discard(marked)
+        del heads, pivots, reached
+        sweep(spark)
+        many *= 8
+
+
 def similar_groups(rows: DataFrame, key: str, text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(key, group): rows whose word shingles are alike to ``similarity`` (Jaccard) or more, ``key`` a unique long.
 
     At 0.8 about 10 of 64 bits differ, so no byte need be shared and a wider fingerprint is taken: 512 bits, 64 positional
     bytes, of which such a pair shares 17 on average and unlike texts 0.25. Index keys are ``KEYS`` triples of positions;
-    a pair that shares the bytes of a triple meets. Within a list all link to its least member by one edge each;
-    edges whose bits differ too often go, those left are verified on the texts; the others meet again without the least
-    member, until no list has two left. So every list is worked off, at a number of edges linear in its length.
+    a pair that shares the bytes of a triple stands in one list. Pairs met in ``link_lists`` whose bits differ too often go,
+    those left are verified on the texts.
     """
     # The cosine of such a pair is about 2J / (1 + J); differing bits are the angle's share, with three deviations above.
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
@@ -210,22 +244,13 @@ def similar_groups(rows: DataFrame, key: str, text: str = "text", shingle: int =
     fps = lambda as_: nodes.select(F.col("node").alias(as_), *(F.col(n).alias(f"{as_}_{n}") for n in names))
     own = lambda as_, x: rows.select(F.col(key).alias(as_), F.col(text).alias(x))
     apart = sum(F.bit_count(F.col(f"node_{n}").bitwiseXOR(F.col(f"pivot_{n}"))) for n in names)
-    edges = None
-    while True:
-        heads = left.groupBy("list").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-        met = stored(left.join(heads, "list").where("node <> pivot").select("list", "node", "pivot"), "met")
-        if edges is not None:
-            discard(left)
-        near = met.select("node", "pivot").distinct().join(fps("node"), "node").join(fps("pivot"), "pivot").where(apart <= limit)
-        pairs = near.select("node", "pivot").join(own("node", "x"), "node").join(own("pivot", "y"), "pivot").select("node", "pivot", "x", "y")
-        good = stored(pairs.mapInArrow(verify, "node long, pivot long, alike boolean").where("alike").select("node", "pivot"), "alike")
-        edges = good if edges is None else edges.union(good)
-        left = stored(met.join(good, ["node", "pivot"], "left_anti").select("list", "node"), "left")
-        discard(met)
-        del heads, near, pairs
-        sweep(rows.sparkSession)
-        if left.isEmpty():
-            break
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        near = pairs.join(fps("node"), "node").join(fps("pivot"), "pivot").where(apart <= limit)
+        both = near.select("node", "pivot").join(own("node", "x"), "node").join(own("pivot", "y"), "pivot").select("node", "pivot", "x", "y")
+        return both.mapInArrow(verify, "node long, pivot long, alike boolean").where("alike").select("node", "pivot")
+
+    edges = link_lists(left, alike)
     star = stored(connected(edges, "node", "pivot"), "groups")
     grouped = nodes.join(star, "node", "left").select(*names, F.coalesce("root", "node").alias("group"))
     return made.join(grouped, names).select("key", "group")
