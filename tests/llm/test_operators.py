@@ -264,6 +264,34 @@ def test_keep_one(docs, rows, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def five(t):
+    w = (t or "").encode().lower().split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def groups_by_brute_force(texts):
+    sets = [(k, five(t)) for k, t in texts]
+    root = {k: k for k, _ in sets}
+    near = [(a, b) for a, x in sets for b, y in sets if a < b and 5 * len(x & y) >= 4 * len(x | y)]
+    for _ in sets:
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def similar(spark, texts):
+    return {r.key: r.group for r in simhash.similar_groups(spark.createDataFrame(texts, "key long, text string"), "key").collect()}
+
+
+def test_repeated_shingles_make_no_copies(spark):
+    own = " ".join(f"a{i}" for i in range(60))
+    texts = [(0, "ha " * 500 + own), (1, "ha " * 500 + " ".join(f"b{i}" for i in range(400))), (2, "ha " * 500 + " ".join(f"c{i}" for i in range(400)))]
+    texts += [(3, "a b c d e a b c d e f g h"), (4, "a b c d e " * 500 + "a b c d e f g h")]
+    want = groups_by_brute_force(texts)
+    assert [want[k] for k in range(5)] == [0, 1, 2, 3, 3]
+    assert similar(spark, texts) == want
+
+
 def test_link_lists(spark):
     rng = random.Random(8)
     lists = [(k, n) for k in range(30) for n in rng.sample(range(400), rng.choice([1, 2, 5, 120]))]

@@ -42,10 +42,10 @@ def _spread(h: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> np.ndarray:
-    """``words`` 64-bit words; a bit is 1 if over half of the shingles (repeats count) have it. No words: all zero."""
+def majority(hashes: Iterable[np.ndarray], words: int) -> np.ndarray:
+    """``words`` 64-bit words; a bit is 1 if over half of the hashes have it. None: all zero."""
     tally, n = np.zeros(words * 64, dtype=np.int64), 0
-    for h in shingle_hashes(text, shingle):
+    for h in (x for x in hashes if len(x)):
         n += len(h)
         spread = np.stack([_spread(h, k) for k in range(words)], axis=1)
         lanes = LANES[spread.astype(">u8").view(np.uint8)]
@@ -54,6 +54,11 @@ def fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> np.ndarra
     return np.packbits(2 * tally > n).view(">u8").astype(np.uint64)
 
 
+def fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> np.ndarray:
+    """The majority of the text's shingles, repeats counted."""
+    return majority(shingle_hashes(text, shingle), words)
+
+
 def fingerprints(docs: DataFrame, key: str, shingle: int = 3, words: int = 1, text: str = "text") -> DataFrame:
     """(key, f0, f1, ...): one row per row of ``docs``, each fingerprint word as a long."""
     schema = pa.schema([("key", pa.int64()), *((f"f{k}", pa.int64()) for k in range(words))])
@@ -166,9 +171,32 @@ def _positions() -> np.ndarray:
     return np.array([draw.choice(WORDS * 8, 3, replace=False) for _ in range(KEYS)])
 
 
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct shingle hashes in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, shingle)]))
+
+
+def shingle_sets(rows: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """(key, d0, d1, f0, f1, ...): a 128-bit digest of the text's set of shingles and its fingerprint, each shingle tallied once."""
+    names = ["d0", "d1", *(f"f{k}" for k in range(WORDS))]
+    schema = pa.schema([("key", pa.int64()), *((n, pa.int64()) for n in names)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros((batch.num_rows, len(names)), dtype=np.uint64)
+            for row, t in zip(out, texts(batch), strict=True):
+                own = shingle_set(t, shingle)
+                row[:2] = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.uint64)
+                row[2:] = majority((own[i : i + BLOCK] for i in range(0, len(own), BLOCK)), WORDS)
+            yield emit(schema, [batch.column(0), *out.view(np.int64).T])
+
+    columns = ", ".join(f"{n} long" for n in names)
+    return rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key long, {columns}")
+
+
 def jaccard(a: str | None, b: str | None, shingle: int) -> float:
     """Of the sets of word shingles; two texts without words are alike."""
-    x, y = (np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(t, shingle)])) for t in (a, b))
+    x, y = (shingle_set(t, shingle) for t in (a, b))
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
@@ -220,8 +248,8 @@ def similar_groups(rows: DataFrame, key: str, text: str = "text", shingle: int =
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     limit = int(WORDS * 64 * share + 3 * np.sqrt(WORDS * 64 * share * (1 - share)))
     names = [f"f{k}" for k in range(WORDS)]
-    made = stored(fingerprints(rows, key, shingle, WORDS, text), "wide")
-    nodes = stored(made.groupBy(*names).agg(F.min("key").alias("node")), "nodes")
+    made = stored(shingle_sets(rows, key, text, shingle), "wide")
+    nodes = stored(made.groupBy("d0", "d1").agg(F.min("key").alias("node"), *(F.first(n).alias(n) for n in names)), "nodes")
     triples = _positions()
     schema = pa.schema([("list", pa.int64()), ("node", pa.int64())])
     verified = pa.schema([("node", pa.int64()), ("pivot", pa.int64()), ("alike", pa.bool_())])
@@ -252,8 +280,8 @@ def similar_groups(rows: DataFrame, key: str, text: str = "text", shingle: int =
 
     edges = link_lists(left, alike)
     star = stored(connected(edges, "node", "pivot"), "groups")
-    grouped = nodes.join(star, "node", "left").select(*names, F.coalesce("root", "node").alias("group"))
-    return made.join(grouped, names).select("key", "group")
+    grouped = nodes.join(star, "node", "left").select("d0", "d1", F.coalesce("root", "node").alias("group"))
+    return made.select("key", "d0", "d1").join(grouped, ["d0", "d1"]).select("key", "group")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
