@@ -273,7 +273,7 @@ def groups_by_brute_force(texts):
     sets = [(k, five(t)) for k, t in texts]
     root = {k: k for k, _ in sets}
     near = [(a, b) for a, x in sets for b, y in sets if a < b and 5 * len(x & y) >= 4 * len(x | y)]
-    for _ in sets:
+    for _ in range(10):
         for a, b in near:
             root[a] = root[b] = min(root[a], root[b])
     return root
@@ -283,6 +283,29 @@ def similar(spark, texts):
     return {r.key: r.group for r in simhash.similar_groups(spark.createDataFrame(texts, "key long, text string"), "key").collect()}
 
 
+def changed(rng, own, n):
+    own = list(own)
+    for at in rng.sample(range(0, len(own) - 2, 6), n):
+        own[at + 2] = f"new{rng.randint(0, 10**9)}"
+    return " ".join(own)
+
+
+def test_every_alike_pair_is_found(spark):
+    rng = random.Random(3)
+    own = [f"w{i}" for i in range(300)]
+    texts = [(k, changed(rng, own, 6)) for k in range(150)] + [(500, " ".join(own))]
+    for k in range(1000, 1200, 2):  # 4 of 5 shingles
+        short = [f"s{k}_{i}" for i in range(9)]
+        texts += [(k, " ".join(short[:8])), (k + 1, " ".join(short))]
+    for k in range(2000, 2200, 2):  # about the least similarity, above and below
+        long = [f"l{k}_{i}" for i in range(rng.randint(30, 200))]
+        texts += [(k, " ".join(long)), (k + 1, changed(rng, long, max(1, len(long) // 45)))]
+    want = groups_by_brute_force(texts)
+    assert {want[k] for k in [*range(150), 500]} == {0} and len(set(groups_by_brute_force(texts[:150]).values())) > 2
+    assert sum(want[k + 1] == k for k in range(1000, 1200, 2)) == 100 and 0 < sum(want[k + 1] == k for k in range(2000, 2200, 2)) < 100
+    assert similar(spark, texts) == want
+
+
 def test_repeated_shingles_make_no_copies(spark):
     own = " ".join(f"a{i}" for i in range(60))
     texts = [(0, "ha " * 500 + own), (1, "ha " * 500 + " ".join(f"b{i}" for i in range(400))), (2, "ha " * 500 + " ".join(f"c{i}" for i in range(400)))]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
@@ -42,10 +43,10 @@ def _spread(h: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def majority(hashes: Iterable[np.ndarray], words: int) -> np.ndarray:
-    """``words`` 64-bit words; a bit is 1 if over half of the hashes have it. None: all zero."""
+def fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> np.ndarray:
+    """``words`` 64-bit words; a bit is 1 if over half of the shingles (repeats count) have it. No words: all zero."""
     tally, n = np.zeros(words * 64, dtype=np.int64), 0
-    for h in (x for x in hashes if len(x)):
+    for h in shingle_hashes(text, shingle):
         n += len(h)
         spread = np.stack([_spread(h, k) for k in range(words)], axis=1)
         lanes = LANES[spread.astype(">u8").view(np.uint8)]
@@ -54,11 +55,6 @@ def majority(hashes: Iterable[np.ndarray], words: int) -> np.ndarray:
     return np.packbits(2 * tally > n).view(">u8").astype(np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> np.ndarray:
-    """The majority of the text's shingles, repeats counted."""
-    return majority(shingle_hashes(text, shingle), words)
-
-
 def fingerprints(docs: DataFrame, key: str, shingle: int = 3, words: int = 1, text: str = "text") -> DataFrame:
     """(key, f0, f1, ...): one row per row of ``docs``, each fingerprint word as a long."""
     schema = pa.schema([("key", pa.int64()), *((f"f{k}", pa.int64()) for k in range(words))])
@@ -162,13 +158,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     )
 
 
-WORDS, KEYS = 8, 160
-
-
-def _positions() -> np.ndarray:
-    """Which three of the 64 byte positions make each index key: a fixed draw."""
-    draw = np.random.default_rng(8)
-    return np.array([draw.choice(WORDS * 8, 3, replace=False) for _ in range(KEYS)])
+WORDS = 8  # 64-bit words of a sketch
+BUCKETS = 1 << 20  # in which shingles are counted
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -176,22 +167,60 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, shingle)]))
 
 
-def shingle_sets(rows: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(key, d0, d1, f0, f1, ...): a 128-bit digest of the text's set of shingles and its fingerprint, each shingle tallied once."""
-    names = ["d0", "d1", *(f"f{k}" for k in range(WORDS))]
-    schema = pa.schema([("key", pa.int64()), *((n, pa.int64()) for n in names)])
+def common_buckets(rows: DataFrame, key: str, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of shingles that many texts have, in order, and the binary logarithm of how many, counted on an eighth of the rows.
+
+    Only the order of shingles comes from here, and any order gives the same pairs; a rare one gives shorter lists.
+    """
+    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for t in texts(batch):
+                np.add.at(total, _spread(shingle_set(t, shingle), 2) & np.uint64(BUCKETS - 1), 1)
+        some = np.flatnonzero(total)
+        yield emit(schema, [some, total[some]])
+
+    part = rows.where(F.pmod(F.xxhash64(F.col(key)), F.lit(8)) == 0).select(F.col(text).alias("text"))
+    counts = part.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "buckets")
+    mean = (counts.agg(F.sum("n")).first()[0] or 0) / BUCKETS
+    many = counts.where(F.col("n") > 4 + 4 * mean).orderBy("bucket").toPandas()
+    return many["bucket"].to_numpy(np.int64), np.log2(many["n"].to_numpy(np.float64)).astype(np.int64)
+
+
+def shingle_sets(rows: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """(key, d0, d1, n, f0, ..., prefix) of each text's set of shingles: 128-bit digest, size, sketch and prefix.
+
+    A sketch bit is the parity of how many shingles fall on it, so two sets differ in at least as many shingles as their sketches in
+    bits. The prefix is what comes first in the order of all shingles: a set of n shares at least ``similarity`` * n with one alike to it, so the
+    two share one of the first n - ceil(similarity * n) + 1.
+    """
+    names = ["d0", "d1", "n", *(f"f{k}" for k in range(WORDS))]
+    schema = pa.schema([("key", pa.int64()), *((n, pa.int64()) for n in names), ("prefix", pa.list_(pa.int64()))])
+    common, level = common_buckets(rows, key, text, shingle)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = np.zeros(BUCKETS, dtype=np.int8)
+        levels[common] = level
         for batch in batches:
-            out = np.zeros((batch.num_rows, len(names)), dtype=np.uint64)
-            for row, t in zip(out, texts(batch), strict=True):
-                own = shingle_set(t, shingle)
-                row[:2] = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.uint64)
-                row[2:] = majority((own[i : i + BLOCK] for i in range(0, len(own), BLOCK)), WORDS)
-            yield emit(schema, [batch.column(0), *out.view(np.int64).T])
+            for start in range(0, batch.num_rows, 2048):
+                part = batch.slice(start, 2048)
+                out, prefixes = np.zeros((part.num_rows, len(names)), dtype=np.uint64), []
+                for row, t in zip(out, texts(part), strict=True):
+                    own = shingle_set(t, shingle)
+                    row[:2] = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.uint64)
+                    row[2] = len(own)
+                    odd = np.bincount((_spread(own, 1) & np.uint64(WORDS * 64 - 1)).astype(np.int64), minlength=WORDS * 64) & 1
+                    row[3:] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+                    first = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1 if len(own) else 0
+                    order = np.lexsort((own, levels[_spread(own, 2) & np.uint64(BUCKETS - 1)]))
+                    prefixes.append(own[order[:first]].view(np.int64))
+                yield emit(schema, [part.column(0), *out.view(np.int64).T, prefixes])
 
     columns = ", ".join(f"{n} long" for n in names)
-    return rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key long, {columns}")
+    return rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key long, {columns}, prefix array<long>")
 
 
 def jaccard(a: str | None, b: str | None, shingle: int) -> float:
@@ -239,48 +268,37 @@ def link_lists(lists: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> Dat
 def similar_groups(rows: DataFrame, key: str, text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(key, group): rows whose word shingles are alike to ``similarity`` (Jaccard) or more, ``key`` a unique long.
 
-    At 0.8 about 10 of 64 bits differ, so no byte need be shared and a wider fingerprint is taken: 512 bits, 64 positional
-    bytes, of which such a pair shares 17 on average and unlike texts 0.25. Index keys are ``KEYS`` triples of positions;
-    a pair that shares the bytes of a triple stands in one list. Pairs met in ``link_lists`` whose bits differ too often go,
-    those left are verified on the texts.
+    Every such pair is found: it shares a shingle of both prefixes, rare shingles first, and stands in that shingle's list, which
+    ``link_lists`` works off. Pairs whose sizes or sketches rule the similarity out go; those left are verified on the texts.
     """
-    # The cosine of such a pair is about 2J / (1 + J); differing bits are the angle's share, with three deviations above.
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    limit = int(WORDS * 64 * share + 3 * np.sqrt(WORDS * 64 * share * (1 - share)))
+    # of two sets alike to J, at most (1 - J) / (1 + J) of their sizes' sum is in one of them only
+    share = (1 - similarity) / (1 + similarity)
     names = [f"f{k}" for k in range(WORDS)]
-    made = stored(shingle_sets(rows, key, text, shingle), "wide")
-    nodes = stored(made.groupBy("d0", "d1").agg(F.min("key").alias("node"), *(F.first(n).alias(n) for n in names)), "nodes")
-    triples = _positions()
-    schema = pa.schema([("list", pa.int64()), ("node", pa.int64())])
+    made = stored(shingle_sets(rows, key, text, shingle, similarity), "sets")
+    least = stored(made.groupBy("d0", "d1").agg(F.min("key").alias("node")), "least")
+    nodes = stored(made.join(least.select(F.col("node").alias("key")), "key", "left_semi").withColumnRenamed("key", "node"), "nodes")
     verified = pa.schema([("node", pa.int64()), ("pivot", pa.int64()), ("alike", pa.bool_())])
 
-    def postings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shift = np.arange(KEYS, dtype=np.int64)[None, :] << 24
-        for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
-                fp = np.column_stack([part.column(k).to_numpy() for k in range(1, WORDS + 1)]).astype(">i8").view(np.uint8).astype(np.int64)
-                lists = fp[:, triples[:, 0]] << 16 | fp[:, triples[:, 1]] << 8 | fp[:, triples[:, 2]] | shift
-                yield emit(schema, [lists.ravel(), np.repeat(part.column(0).to_numpy(), KEYS)])
-
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             alike = [jaccard(a, b, shingle) >= similarity for a, b in zip(texts(batch, "x"), texts(batch, "y"), strict=True)]
             yield emit(verified, [batch.column(0), batch.column(1), alike])
 
-    left = nodes.select("node", *names).mapInArrow(postings, "list long, node long")
-    fps = lambda as_: nodes.select(F.col("node").alias(as_), *(F.col(n).alias(f"{as_}_{n}") for n in names))
+    lists = nodes.select(F.explode("prefix").alias("list"), "node")
+    lists = lists.join(lists.groupBy("list").agg(F.count("*").alias("all")).where("all > 1"), "list", "left_semi")
+    fps = lambda as_: nodes.select(F.col("node").alias(as_), *(F.col(n).alias(f"{as_}_{n}") for n in ["n", *names]))
     own = lambda as_, x: rows.select(F.col(key).alias(as_), F.col(text).alias(x))
     apart = sum(F.bit_count(F.col(f"node_{n}").bitwiseXOR(F.col(f"pivot_{n}"))) for n in names)
+    fits = F.least("node_n", "pivot_n") >= similarity * F.greatest("node_n", "pivot_n") - 1e-9
 
     def alike(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(fps("node"), "node").join(fps("pivot"), "pivot").where(apart <= limit)
+        near = pairs.join(fps("node"), "node").join(fps("pivot"), "pivot").where(fits & (apart <= share * (F.col("node_n") + F.col("pivot_n")) + 1e-9))
         both = near.select("node", "pivot").join(own("node", "x"), "node").join(own("pivot", "y"), "pivot").select("node", "pivot", "x", "y")
         return both.mapInArrow(verify, "node long, pivot long, alike boolean").where("alike").select("node", "pivot")
 
-    edges = link_lists(left, alike)
+    edges = link_lists(lists, alike)
     star = stored(connected(edges, "node", "pivot"), "groups")
-    grouped = nodes.join(star, "node", "left").select("d0", "d1", F.coalesce("root", "node").alias("group"))
+    grouped = least.join(star, "node", "left").select("d0", "d1", F.coalesce("root", "node").alias("group"))
     return made.select("key", "d0", "d1").join(grouped, ["d0", "d1"]).select("key", "group")
 
 
