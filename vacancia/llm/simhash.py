@@ -233,34 +233,36 @@ def jaccard(a: str | None, b: str | None, shingle: int) -> float:
 def link_lists(lists: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Edges (node, pivot) that connect every two nodes that stand in one list and are alike; alike need not be transitive.
 
-    ``lists`` has (list, node); ``alike`` keeps those of the distinct pairs (node, pivot) that are. Each list is searched breadth-first
-    from several members at once: pivots meet all members not reached yet, those found alike are the next round's pivots,
-    with the label of the search that reached them. Pivots of different labels meet too, those of one label are connected already.
-    The number of members a search begins from grows, so the rounds are about the logarithm of a list's length and a search's depth.
+    ``lists`` has (list, node); ``alike`` keeps those of the distinct pairs (node, pivot) that are. Each list is searched
+    from some members at a time, the same ones in all lists as far as they stand in them: these pivots meet all others, but those whose label
+    says that they are connected to them already, and leave the list. A member found alike takes the pivot's label and waits to be a pivot
+    itself; a list is done when all left in it have one label. The number of pivots grows, so the rounds are about the logarithm of the
+    length; a list of members few of which are alike costs the square of its length.
     """
     spark = lists.sparkSession
     left, edges, many = stored(lists.withColumn("label", F.lit(None).cast("long")), "left"), None, 1
     while True:
-        new = F.col("label").isNull()
         heads = left.groupBy("list").agg(
-            F.min(F.when(new, F.col("node"))).alias("first"), F.count(F.when(new, 1)).alias("n"), F.count("*").alias("all"), F.min("label").alias("low"), F.max("label").alias("high")
+            F.min("node").alias("first"), F.count("label").alias("reached"), F.count("*").alias("all"), F.min("label").alias("low"), F.max("label").alias("high")
         )
-        heads = heads.where("all > 1 and (n > 0 or low < high)")
-        begins = F.expr(f"label is not null or node = first or pmod(xxhash64(list, node), greatest(n div {many}, 1)) = 0") if many > 1 else F.expr("label is not null or node = first")
-        marked = stored(left.join(heads, "list").select("list", "node", F.coalesce("label", "node").alias("label"), begins.alias("begins")), "marked")
+        heads = heads.where("all > 1 and (reached < all or low < high)")
+        begins = F.expr(f"node = first or {many} > 1 and pmod(xxhash64(node, {many}), greatest(all div {many}, 1)) = 0")
+        marked = left.join(heads, "list").select("list", "node", F.coalesce("label", "node").alias("label"), F.col("label").isNotNull().alias("waits"), begins.alias("begins"))
+        marked = stored(marked, "marked")
         discard(left)
         if marked.isEmpty():
             return edges if edges is not None else marked.select("node", F.col("node").alias("pivot"))
         pivots = marked.where("begins").select("list", F.col("node").alias("pivot"), F.col("label").alias("of"))
-        met = marked.join(pivots, "list").where("node <> pivot and (not begins or (node > pivot and label <> of))")
+        met = marked.join(pivots, "list").where("label <> of and (not begins or node > pivot)")
         met = stored(met.select("list", "node", "pivot", "of", "begins"), "met")
         good = stored(alike(met.select("node", "pivot").distinct()), "alike")
         edges = good if edges is None else edges.union(good)
         reached = met.where("not begins").join(good, ["node", "pivot"]).groupBy("list", "node").agg(F.min("of").alias("label"))
-        left = stored(marked.where("not begins").select("list", "node").join(reached, ["list", "node"], "left").select("list", "node", "label"), "left")
+        kept = marked.where("not begins").select("list", "node", F.when(F.col("waits"), F.col("label")).alias("own"))
+        left = stored(kept.join(reached, ["list", "node"], "left").select("list", "node", F.coalesce("own", "label").alias("label")), "left")
         discard(met)
         discard(marked)
-        del heads, pivots, reached
+        del heads, pivots, reached, kept
         sweep(spark)
         many *= 8
 
