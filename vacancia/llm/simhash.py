@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -12,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import connected, discard, emit, stored, sweep, texts
+from vacancia.llm.common import connected, emit, stored, texts
 
 BLOCK = 1 << 14  # shingles tallied at once
 #: The eight bits of a byte, the highest first, in eight lanes of a 64-bit word: up to 255 of them add up without a carry.
@@ -33,39 +32,27 @@ def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
         left -= n
 
 
-def _spread(h: np.ndarray, word: int) -> np.ndarray:
-    """Another 64 bits of the same shingle; the first word is the hash itself."""
-    if word == 0:
-        return h
-    x = h + np.uint64(word * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> np.ndarray:
-    """``words`` 64-bit words; a bit is 1 if over half of the shingles (repeats count) have it. No words: all zero."""
-    tally, n = np.zeros(words * 64, dtype=np.int64), 0
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """64 bits; a bit is 1 if over half of the shingles (repeats count) have it. No words: zero."""
+    tally, n = np.zeros(64, dtype=np.int64), 0
     for h in shingle_hashes(text, shingle):
         n += len(h)
-        spread = np.stack([_spread(h, k) for k in range(words)], axis=1)
-        lanes = LANES[spread.astype(">u8").view(np.uint8)]
+        lanes = LANES[h.astype(">u8").view(np.uint8).reshape(-1, 8)]
         sums = np.add.reduceat(lanes, np.arange(0, len(h), 255), axis=0)
-        tally += sums.view(np.uint8).reshape(-1, words * 64).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * tally > n).view(">u8").astype(np.uint64)
+        tally += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * tally > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, key: str, shingle: int = 3, words: int = 1, text: str = "text") -> DataFrame:
-    """(key, f0, f1, ...): one row per row of ``docs``, each fingerprint word as a long."""
-    schema = pa.schema([("key", pa.int64()), *((f"f{k}", pa.int64()) for k in range(words))])
+def fingerprints(docs: DataFrame, key: str, shingle: int = 3, text: str = "text") -> DataFrame:
+    """(key, fp): one row per row of ``docs``, the fingerprint as a long."""
+    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle, words) for t in texts(batch)], dtype=np.uint64).reshape(-1, words)
-            yield emit(schema, [batch.column(0), *found.view(np.int64).T])
+            found = np.array([fingerprint(t, shingle) for t in texts(batch)], dtype=np.uint64)
+            yield emit(schema, [batch.column(0), found.view(np.int64)])
 
-    columns = ", ".join(f"f{k} long" for k in range(words))
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key long, {columns}")
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, "key long, fp long")
 
 
 def _masks(bits: int) -> list[int]:
@@ -123,7 +110,8 @@ def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
     """
     masks = _masks(bits)
     posting = F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.col("fp").bitwiseAND(F.lit(m)).alias("kept")) for c, m in enumerate(masks))))
-    lists = distinct.select("fp", posting.alias("p")).groupBy("p.c", "p.kept").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    spread = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the table may be one small file, its lists are not
+    lists = distinct.repartition(spread, "fp").select("fp", posting.alias("p")).groupBy("p.c", "p.kept").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,6 +127,18 @@ def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
     return lists.select("fps").mapInArrow(run, "a long, b long").distinct()
 
 
+def components(rows: DataFrame, key: str, shingle: int = 3, bits: int = 2, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Two stored tables: (key, fp) of every row, and (fp, root) of every distinct fingerprint, root naming its component.
+
+    Fingerprints link at up to ``bits`` differing bits; copies meet as one fingerprint, whatever their number.
+    """
+    prints = stored(fingerprints(rows, key, shingle, text), "fingerprints")
+    distinct = stored(prints.select("fp").distinct(), "distinct")
+    star = stored(connected(stored(links(distinct, bits), "links")), "components")
+    roots = distinct.join(star, distinct.fp == star.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return prints, stored(roots, "roots")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
     """(id, fingerprint, component_id) per row of ``docs``.
 
@@ -146,171 +146,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     empty one: fingerprint zero, linked like any other. A null id takes part but is nobody's component_id, unless a
     component has no other. Repeated rows come out as often as they came in; other columns of ``docs`` are not used.
     """
-    rows = stored(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "id", shingle).withColumnRenamed("f0", "fp"), "fingerprints")
-    distinct = stored(rows.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
-    star = stored(connected(stored(links(distinct.select("fp"), bits), "links")), "components")
-    linked = distinct.join(star, distinct.fp == star.node).select("fp", "root", "least")
-    least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    found = linked.join(least, "root").select(F.col("fp").alias("node"), "component")
-    known = distinct.join(found, distinct.fp == found.node, "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return rows.join(known, "fp").select(
-        F.col("key").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-WORDS = 8  # 64-bit words of a sketch
-BUCKETS = 1 << 20  # in which shingles are counted
-
-
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct shingle hashes in order."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, shingle)]))
-
-
-def common_buckets(rows: DataFrame, key: str, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of shingles that many texts have, in order, and the binary logarithm of how many, counted on an eighth of the rows.
-
-    Only the order of shingles comes from here, and any order gives the same pairs; a rare one gives shorter lists.
-    """
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
-            for t in texts(batch):
-                np.add.at(total, _spread(shingle_set(t, shingle), 2) & np.uint64(BUCKETS - 1), 1)
-        some = np.flatnonzero(total)
-        yield emit(schema, [some, total[some]])
-
-    part = rows.where(F.pmod(F.xxhash64(F.col(key)), F.lit(8)) == 0).select(F.col(text).alias("text"))
-    counts = part.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "buckets")
-    mean = (counts.agg(F.sum("n")).first()[0] or 0) / BUCKETS
-    many = counts.where(F.col("n") > 4 + 4 * mean).orderBy("bucket").toPandas()
-    return many["bucket"].to_numpy(np.int64), np.log2(many["n"].to_numpy(np.float64)).astype(np.int64)
-
-
-def shingle_sets(rows: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """(key, d0, d1, n, f0, ..., prefix) of each text's set of shingles: 128-bit digest, size, sketch and prefix.
-
-    A sketch bit is the parity of how many shingles fall on it, so two sets differ in at least as many shingles as their sketches in
-    bits. The prefix is what comes first in the order of all shingles: a set of n shares at least ``similarity`` * n with one alike to it, so the
-    two share one of the first n - ceil(similarity * n) + 1.
-    """
-    names = ["d0", "d1", "n", *(f"f{k}" for k in range(WORDS))]
-    schema = pa.schema([("key", pa.int64()), *((n, pa.int64()) for n in names), ("prefix", pa.list_(pa.int64()))])
-    common, level = common_buckets(rows, key, text, shingle)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = np.zeros(BUCKETS, dtype=np.int8)
-        levels[common] = level
-        for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
-                out, prefixes = np.zeros((part.num_rows, len(names)), dtype=np.uint64), []
-                for row, t in zip(out, texts(part), strict=True):
-                    own = shingle_set(t, shingle)
-                    row[:2] = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.uint64)
-                    row[2] = len(own)
-                    odd = np.bincount((_spread(own, 1) & np.uint64(WORDS * 64 - 1)).astype(np.int64), minlength=WORDS * 64) & 1
-                    row[3:] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
-                    first = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1 if len(own) else 0
-                    order = np.lexsort((own, levels[_spread(own, 2) & np.uint64(BUCKETS - 1)]))
-                    prefixes.append(own[order[:first]].view(np.int64))
-                yield emit(schema, [part.column(0), *out.view(np.int64).T, prefixes])
-
-    columns = ", ".join(f"{n} long" for n in names)
-    return rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key long, {columns}, prefix array<long>")
-
-
-def jaccard(a: str | None, b: str | None, shingle: int) -> float:
-    """Of the sets of word shingles; two texts without words are alike."""
-    x, y = (shingle_set(t, shingle) for t in (a, b))
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
-
-
-def link_lists(lists: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Edges (node, pivot) that connect every two nodes that stand in one list and are alike; alike need not be transitive.
-
-    ``lists`` has (list, node); ``alike`` keeps those of the distinct pairs (node, pivot) that are. Each list is searched
-    from some members at a time, the same ones in all lists as far as they stand in them: these pivots meet all others, but those whose label
-    says that they are connected to them already, and leave the list. A member found alike takes the pivot's label and waits to be a pivot
-    itself; a list is done when all left in it have one label. The number of pivots grows, so the rounds are about the logarithm of the
-    length; a list of members few of which are alike costs the square of its length.
-    """
-    spark = lists.sparkSession
-    left, edges, many = stored(lists.withColumn("label", F.lit(None).cast("long")), "left"), None, 1
-    while True:
-        heads = left.groupBy("list").agg(
-            F.min("node").alias("first"), F.count("label").alias("reached"), F.count("*").alias("all"), F.min("label").alias("low"), F.max("label").alias("high")
-        )
-        heads = heads.where("all > 1 and (reached < all or low < high)")
-        begins = F.expr(f"node = first or {many} > 1 and pmod(xxhash64(node, {many}), greatest(all div {many}, 1)) = 0")
-        marked = left.join(heads, "list").select("list", "node", F.coalesce("label", "node").alias("label"), F.col("label").isNotNull().alias("waits"), begins.alias("begins"))
-        marked = stored(marked, "marked")
-        discard(left)
-        if marked.isEmpty():
-            return edges if edges is not None else marked.select("node", F.col("node").alias("pivot"))
-        pivots = marked.where("begins").select("list", F.col("node").alias("pivot"), F.col("label").alias("of"))
-        met = marked.join(pivots, "list").where("label <> of and (not begins or node > pivot)")
-        met = stored(met.select("list", "node", "pivot", "of", "begins"), "met")
-        good = stored(alike(met.select("node", "pivot").distinct()), "alike")
-        edges = good if edges is None else edges.union(good)
-        reached = met.where("not begins").join(good, ["node", "pivot"]).groupBy("list", "node").agg(F.min("of").alias("label"))
-        kept = marked.where("not begins").select("list", "node", F.when(F.col("waits"), F.col("label")).alias("own"))
-        left = stored(kept.join(reached, ["list", "node"], "left").select("list", "node", F.coalesce("own", "label").alias("label")), "left")
-        discard(met)
-        discard(marked)
-        del heads, pivots, reached, kept
-        sweep(spark)
-        many *= 8
-
-
-def similar_groups(rows: DataFrame, key: str, text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(key, group): rows whose word shingles are alike to ``similarity`` (Jaccard) or more, ``key`` a unique long.
-
-    Every such pair is found: it shares a shingle of both prefixes, rare shingles first, and stands in that shingle's list, which
-    ``link_lists`` works off. Pairs whose sizes or sketches rule the similarity out go; those left are verified on the texts.
-    """
-    # of two sets alike to J, at most (1 - J) / (1 + J) of their sizes' sum is in one of them only
-    share = (1 - similarity) / (1 + similarity)
-    names = [f"f{k}" for k in range(WORDS)]
-    made = stored(shingle_sets(rows, key, text, shingle, similarity), "sets")
-    least = stored(made.groupBy("d0", "d1").agg(F.min("key").alias("node")), "least")
-    nodes = stored(made.join(least.select(F.col("node").alias("key")), "key", "left_semi").withColumnRenamed("key", "node"), "nodes")
-    verified = pa.schema([("node", pa.int64()), ("pivot", pa.int64()), ("alike", pa.bool_())])
-
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = [jaccard(a, b, shingle) >= similarity for a, b in zip(texts(batch, "x"), texts(batch, "y"), strict=True)]
-            yield emit(verified, [batch.column(0), batch.column(1), alike])
-
-    lists = nodes.select(F.explode("prefix").alias("list"), "node")
-    lists = lists.join(lists.groupBy("list").agg(F.count("*").alias("all")).where("all > 1"), "list", "left_semi")
-    fps = lambda as_: nodes.select(F.col("node").alias(as_), *(F.col(n).alias(f"{as_}_{n}") for n in ["n", *names]))
-    own = lambda as_, x: rows.select(F.col(key).alias(as_), F.col(text).alias(x))
-    apart = sum(F.bit_count(F.col(f"node_{n}").bitwiseXOR(F.col(f"pivot_{n}"))) for n in names)
-    fits = F.least("node_n", "pivot_n") >= similarity * F.greatest("node_n", "pivot_n") - 1e-9
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(fps("node"), "node").join(fps("pivot"), "pivot").where(fits & (apart <= share * (F.col("node_n") + F.col("pivot_n")) + 1e-9))
-        both = near.select("node", "pivot").join(own("node", "x"), "node").join(own("pivot", "y"), "pivot").select("node", "pivot", "x", "y")
-        return both.mapInArrow(verify, "node long, pivot long, alike boolean").where("alike").select("node", "pivot")
-
-    edges = link_lists(lists, alike)
-    star = stored(connected(edges, "node", "pivot"), "groups")
-    grouped = least.join(star, "node", "left").select("d0", "d1", F.coalesce("root", "node").alias("group"))
-    return made.select("key", "d0", "d1").join(grouped, ["d0", "d1"]).select("key", "group")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    prints, roots = components(rows, "id", shingle, bits)
+    least = prints.groupBy("fp").agg(F.min("key").alias("least")).join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    known = roots.join(least, "root").select("fp", "component_id")
+    return prints.join(known, "fp").select(F.col("key").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without near copies: of each group the row with the least id stays, then the first of equal ids.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
+    """``docs`` without near copies: of each component of fingerprints the row with the least id stays, the first of equal ids.
 
-    All columns stay as they are. Null texts count as empty; empty ones are a group like any other.
+    All columns stay as they are. Null texts count as empty, and empty ones are a group like any other; a row without id
+    stays only where its component has no other.
     """
     keyed = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    groups = stored(similar_groups(keyed, "__row", text), "grouped").withColumnRenamed("key", "__row")
-    ranked = groups.join(keyed.select("__row", F.col(id_col).alias("__id")), "__row")
-    first = ranked.groupBy("group").agg(F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row"))).alias("least"))
-    return keyed.join(first.select(F.col("least.__row").alias("__row")), "__row", "left_semi").drop("__row")
+    prints, roots = components(keyed, "__row", shingle, bits, text)
+    named = prints.join(keyed.select(F.col("__row").alias("key"), F.col(id_col).alias("id")), "key")
+    least = named.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))).alias("first"))
+    first = least.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return keyed.join(first.select(F.col("first.key").alias("__row")), "__row", "left_semi").drop("__row")
