@@ -23,8 +23,8 @@ def without_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies (word 5-shingles, similarity 0.8) the document of least id (operator 8)."""
-    return simhash.keep_one(docs)
+    """Of near copies (SimHash of 3-word shingles, at most 2 differing bits) the document of least id (operator 8)."""
+    return simhash.keep_one(docs, shingle=3, bits=2)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
