@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vacancia.llm.common import stored
 
 STEPS = 1 << 16  # steps of a coordinate and of each digit of the order within a step
+PARTS = 8  # a group that no shard can hold is dealt out in this many pieces a shard
 
 
 @dataclass
 class Node:
-    """Of the tree: ``shards`` leaves from ``first`` on. ``cut`` has the digits of the first row that goes right."""
+    """Of the tree: ``shards`` leaves from ``first`` on. ``cut`` has the digits of the first unit that goes right."""
 
     id: int
     first: int
@@ -29,16 +30,23 @@ class Node:
         return Node(2 * self.id, self.first, left), Node(2 * self.id + 1, self.first + left, self.shards - left)
 
 
-def scaled(rows: DataFrame, axes: Sequence[str]) -> DataFrame:
+def literal(spark: SparkSession, columns: dict[str, str], rows: Sequence[Sequence[float | int | None]]) -> DataFrame:
+    """A few rows of numbers as SQL VALUES: part of the plan, without a job or Python on the executors."""
+    typed = lambda v, t: f"CAST({'NULL' if v is None else repr(str(v))} AS {t})"
+    body = ", ".join("(" + ", ".join(typed(v, t) for v, t in zip(r, columns.values(), strict=True)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+
+
+def scaled(units: DataFrame, axes: Sequence[str]) -> DataFrame:
     """Each axis as an integer from 0 to STEPS - 1 between its least and greatest value; null and constant axes are 0."""
-    span = rows.agg(*(f(F.col(a).cast("double")).alias(f"{n}_{a}") for a in axes for n, f in (("low", F.min), ("high", F.max)))).first()
+    span = units.agg(*(f(F.col(a).cast("double")).alias(f"{n}_{a}") for a in axes for n, f in (("low", F.min), ("high", F.max)))).first()
     out = {}
     for a in axes:
         low, high = span[f"low_{a}"], span[f"high_{a}"]
         wide = low is not None and high > low
         at = (F.col(a).cast("double") - F.lit(low)) / F.lit(high - low) * (STEPS - 1) if wide else F.lit(0.0)
         out[a] = F.coalesce(at, F.lit(0.0)).cast("int")
-    return rows.withColumns(out)
+    return units.withColumns(out)
 
 
 def codes(column: str) -> Column:
@@ -46,22 +54,27 @@ def codes(column: str) -> Column:
     return F.conv(F.rpad(F.hex(F.col(column).cast("binary")), 12, "0").substr(1, 12), 16, 10).cast("double")
 
 
-def _ordered(rows: DataFrame, nodes: list[Node], axes: Sequence[str], digits: Sequence[str]) -> DataFrame:
-    """Rows of the nodes with ``place``, their order along the node's axis, and the node's ``cut`` (a row per node, broadcast)."""
-    known = [(n.id, list(axes).index(n.axis) + 1, n.cut) for n in nodes]
-    side = rows.sparkSession.createDataFrame(known, "node long, axis int, cut array<int>")
-    value = F.element_at(F.array(*axes), F.col("axis"))
-    return rows.join(F.broadcast(side), "node").withColumn("place", F.array(value, *digits)).drop("axis")
+def _ordered(units: DataFrame, nodes: list[Node], axes: Sequence[str], digits: Sequence[str]) -> DataFrame:
+    """Units of the nodes with p0, p1, ...: their place along the node's axis, and c0, c1, ...: the node's cut so far.
 
+    The side table has a row per node of one level, at most one per shard.
+    """
+    width = len(digits) + 1
+    known = [(n.id, *n.cut, *[None] * (width - len(n.cut))) for n in nodes]
+    side = literal(units.sparkSession, {"node": "long", **{f"c{i}": "int" for i in range(width)}}, known)
+    value = F.coalesce(*(F.when(F.col("node").isin([n.id for n in nodes if n.axis == a]), F.col(a)) for a in axes))
+    place = {"p0": value, **{f"p{i + 1}": F.col(d) for i, d in enumerate(digits)}}
+    return units.withColumns(place).join(F.broadcast(side), "node")
 
-def _find_cuts(level: list[Node], rows: DataFrame, axes: Sequence[str], digits: Sequence[str], exact: float) -> None:
+
+def _find_cuts(level: list[Node], units: DataFrame, axes: Sequence[str], digits: Sequence[str], exact: float) -> None:
     """Finds axis and cut of each node: the weighted quantile at which its left child gets its share.
 
     The order along an axis is its step, then the ``digits``. One pass sums bytes by the first of them; where the cell at the
-    cut is heavier than ``exact`` bytes, the next pass sums that cell by the next digit. Each pass sends at most STEPS sums
-    per node through the shuffle, and one row per node to the driver.
+    cut is heavier than ``exact`` bytes and holds several units, the next pass sums that cell by the next digit. Each pass sends
+    at most STEPS sums per node through the shuffle, and one row per node to the driver.
     """
-    wide = rows.groupBy("node").agg(F.sum("size").alias("bytes"), *((F.max(a) - F.min(a)).alias(a) for a in axes))
+    wide = units.groupBy("node").agg(F.sum("bytes").alias("bytes"), *((F.max(a) - F.min(a)).alias(a) for a in axes))
     spans = {s.node: s for s in wide.collect()}
     todo = {}
     for n in level:
@@ -71,45 +84,49 @@ def _find_cuts(level: list[Node], rows: DataFrame, axes: Sequence[str], digits:
     for depth in range(len(digits) + 1):
         if not todo:
             return
-        here = _ordered(rows, [n for n, _ in todo.values()], axes, digits)
-        if depth:
-            here = here.where(F.slice("place", 1, depth) == F.col("cut"))
-        sums = here.groupBy("node", F.element_at("place", depth + 1).alias("cell")).agg(F.sum("size").alias("bytes"))
-        want = rows.sparkSession.createDataFrame([(i, float(w)) for i, (_, w) in todo.items()], "node long, want double")
+        here = _ordered(units, [n for n, _ in todo.values()], axes, digits)
+        for i in range(depth):
+            here = here.where(F.col(f"p{i}") == F.col(f"c{i}"))
+        sums = here.groupBy("node", F.col(f"p{depth}").alias("cell")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
+        want = literal(units.sparkSession, {"node": "long", "want": "double"}, [(i, float(w)) for i, (_, w) in todo.items()])
         upto = F.sum("bytes").over(Window.partitionBy("node").orderBy("cell")) - F.col("bytes")  # at most STEPS rows a node
         reached = sums.withColumn("before", upto).join(F.broadcast(want), "node").where("before <= want")
-        for r in reached.groupBy("node").agg(F.max(F.struct("cell", "before", "bytes")).alias("c")).collect():
+        for r in reached.groupBy("node").agg(F.max(F.struct("cell", "before", "bytes", "n")).alias("c")).collect():
             n, w = todo[r.node]
             n.cut.append(r.c.cell)
-            if r.c.bytes > exact and depth < len(digits):
+            if r.c.bytes > exact and r.c.n > 1 and depth < len(digits):
                 todo[r.node] = (n, w - r.c.before)
             else:  # the cell goes to the side that leaves the smaller error
                 n.cut[-1] += w - r.c.before > r.c.bytes / 2
                 del todo[r.node]
 
 
-def kd_shards(rows: DataFrame, axes: Sequence[str], digits: Sequence[str], shards: int, tolerance: float = 0.0005) -> DataFrame:
-    """``rows`` (with ``size`` and integer ``axes``, ``digits`` below STEPS) and their ``shard``, 0 to shards - 1.
+def kd_shards(units: DataFrame, axes: Sequence[str], digits: Sequence[str], shards: int, tolerance: float = 0.0005) -> DataFrame:
+    """``units`` (with ``bytes`` and integer ``axes``, ``digits`` below STEPS) and their ``shard``, 0 to shards - 1.
 
     A node of s shards is cut along its widest axis, so that the left side gets s // 2 of s parts of its bytes; level by
-    level, ceil(log2(shards)) in all. ``tolerance`` is the error of a cut as a share of a shard's bytes.
+    level, ceil(log2(shards)) in all. ``tolerance`` is the error of a cut as a share of a shard's bytes, where no unit is larger.
     """
-    whole = rows.agg(F.sum("size")).first()[0] or 0
+    whole = units.agg(F.sum("bytes")).first()[0] or 0
     exact = tolerance * whole / shards
-    now, level, leaves = rows.withColumn("node", F.lit(1).cast("long")), [Node(1, 0, shards)], []
+    now, level, leaves = units.withColumn("node", F.lit(1).cast("long")), [Node(1, 0, shards)], []
+    width = len(digits) + 1
     while level:
         leaves += [n for n in level if n.shards == 1]
         inner = [n for n in level if n.shards > 1]
         _find_cuts(inner, now, axes, digits, exact)
-        parted = [n for n in inner if n.cut]  # the others have no rows
+        parted = [n for n in inner if n.cut]  # the others have no units
         if parted:
-            goes_left = F.col("place") < F.col("cut")  # a shorter cut precedes what it begins
-            moved = _ordered(now, parted, axes, digits).withColumn("node", 2 * F.col("node") + F.when(goes_left, 0).otherwise(1))
+            below = F.lit(False)  # a shorter cut precedes what it begins
+            for i in reversed(range(width)):
+                below = (F.col(f"p{i}") < F.col(f"c{i}")) | ((F.col(f"p{i}") == F.col(f"c{i}")) & below)
+            side = F.when(F.coalesce(below, F.lit(False)), 0).otherwise(1)
+            moved = _ordered(now, parted, axes, digits).withColumn("node", 2 * F.col("node") + side)
             rest = now.where(~F.col("node").isin([n.id for n in parted]))
-            now = stored(moved.drop("place", "cut").unionByName(rest), "level")
+            now = stored(moved.select(now.columns).unionByName(rest), "level")
         level = [c for n in inner for c in n.children()]
-    side = rows.sparkSession.createDataFrame([(n.id, n.first) for n in leaves], "node long, shard int")
-    return now.join(F.broadcast(side), "node").drop("node")
+    ends = literal(units.sparkSession, {"node": "long", "shard": "int"}, [(n.id, n.first) for n in leaves])
+    return now.join(F.broadcast(ends), "node").drop("node")
 
 
 def slots(rows: DataFrame, shard: str, order: Column, rows_a_group: int = 10_000) -> DataFrame:
@@ -126,34 +143,57 @@ def slots(rows: DataFrame, shard: str, order: Column, rows_a_group: int = 10_000
     return made.withColumn("__r", own).join(before, [shard, "__g"]).withColumn("slot", (F.col("__b") + F.col("__r") - 1).cast("long")).drop("__h", "__g", "__b", "__r")
 
 
+def _large_groups(rows: DataFrame, text_key: list[str], shards: int) -> DataFrame:
+    """Groups of equal texts that exceed a shard's bytes, or hold over 1 / (4 * shards) of the rows: under 5 * shards of them.
+
+    ``pieces`` are what the tree may deal to different shards (1 where a shard can hold the group), ``salts`` what a
+    piece's rows are spread over in the join.
+    """
+    every = rows.agg(F.sum("size").alias("all_bytes"), F.count("*").alias("all_rows"))
+    groups = rows.groupBy(text_key).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).join(F.broadcast(every))
+    part = F.col("bytes") * shards / F.col("all_bytes")
+    pieces = F.when(part > 1, F.ceil(part * PARTS)).otherwise(1).cast("int")
+    salts = F.ceil(F.col("n") * (4 * shards) / F.col("all_rows") / pieces).cast("int")
+    return groups.select(*text_key, pieces.alias("pieces"), salts.alias("salts")).where("pieces > 1 or salts > 1")
+
+
 def shard_documents(
     docs: DataFrame, shards: int = 40, target_bytes: int | None = None, id_col: str = "doc_id", text: str = "text", axes: Sequence[str] = ("lang", "n_chars")
 ) -> DataFrame:
     """(id, size, text_crc32, shard, slot), one row per row of ``docs``; with ``target_bytes`` as many shards as give leaves of that size.
 
-    Size is the text's UTF-8 bytes (null: none) plus 16. The tree splits the ``axes`` (metadata columns, numbers or text) and the
-    text's size. Along an axis rows of equal step stand in the order of their text's digest, so equal texts stay together
-    unless a cut must fall inside their group; then by the id's hash and at last by row. Null counts as least value.
+    Size is the text's UTF-8 bytes (null: none) plus 16. The tree splits the ``axes`` (metadata columns, numbers or text, of
+    a group of equal texts the least value) and the text's size. Its units are whole groups of equal texts, so a group stays in
+    one shard and a shard's bytes are near the mean to about half of the group at its cut. Only a group of more bytes than a
+    shard is dealt out, in ``PARTS`` pieces a shard. Null counts as least value, a null text as an empty one; repeated rows are
+    rows like any other, and an empty table gives none.
     """
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     kinds = dict(docs.dtypes)
     names = {f"axis{i}": codes(a) if kinds[a] == "string" else F.col(a).cast("double") for i, a in enumerate(axes)}
-    digit = lambda h: h.bitwiseAND(F.lit(STEPS - 1)).cast("int")
     rows = docs.select(
         F.col(id_col).alias("id"),
         (F.octet_length(body) + 16).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
+        F.xxhash64(body).alias("mark"),
         *(c.alias(n) for n, c in names.items()),
-        F.log2(F.octet_length(body) + 16).alias("axis_size"),
-        digit(F.xxhash64(body)).alias("by_text"),
-        digit(F.xxhash64(F.col(id_col))).alias("by_id"),
-        digit(F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 16)).alias("by_id2"),
     ).withColumn("row", F.monotonically_increasing_id())
-    every = [*names, "axis_size"]
-    narrow = scaled(stored(rows.withColumn("by_row", digit(F.xxhash64("row"))), "narrow"), every)
+    rows = stored(rows, "narrow")
     if target_bytes:
-        shards = max(1, -(-(narrow.agg(F.sum("size")).first()[0] or 0) // target_bytes))
-    placed = kd_shards(narrow, every, ["by_text", "by_id", "by_id2", "by_row"], shards)
-    placed = stored(placed.select("id", "size", "text_crc32", "shard", "row"), "placed")
+        shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
+    text_key = ["mark", "text_crc32", "size"]
+    large = F.broadcast(_large_groups(rows, text_key, shards))
+    dealt = lambda n, seed: F.coalesce(F.pmod(F.xxhash64("id", "row", F.lit(seed)), F.col(n)).cast("int"), F.lit(0))
+    rows = rows.join(large, text_key, "left").withColumns({"piece": dealt("pieces", 1), "salt": dealt("salts", 2)})
+    units = rows.groupBy(*text_key, "piece").agg(
+        F.sum("size").alias("bytes"), F.max(F.coalesce("salts", F.lit(1))).alias("salts"), *(F.min(n).alias(n) for n in names)
+    )
+    digit = lambda bits: F.shiftrightunsigned("mark", bits).bitwiseAND(F.lit(STEPS - 1)).cast("int")
+    places = {"axis_size": F.log2(F.col("size").cast("double")), "by_text": digit(0), "by_text2": digit(16)}
+    every = [*names, "axis_size"]
+    units = scaled(stored(units.withColumns(places), "units"), every)
+    placed = kd_shards(units, every, ["by_text", "by_text2", "piece"], shards)
+    placed = placed.select(*text_key, "piece", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    placed = stored(rows.join(placed, [*text_key, "piece", "salt"]).select("id", "size", "text_crc32", "shard", "row"), "placed")
     numbered = slots(placed, "shard", F.shiftrightunsigned(F.xxhash64("id", "row"), 33))
     return numbered.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")
