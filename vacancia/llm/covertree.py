@@ -12,37 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vacancia.llm.common import emit, stored
-
-EXACT = 1 << 53
-
-
-def as_matrix(blobs: Iterable[bytes]) -> np.ndarray:
-    rows = [np.frombuffer(b, dtype="<i8") for b in blobs]
-    return np.stack(rows) if rows else np.zeros((0, 0), dtype=np.int64)
-
-
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; in floating point where no sum can leave its exact range."""
-    bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    if bound < EXACT:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
-
-
-def whole_vectors(vectors: DataFrame, key: str, vector: str, scale: int = 256) -> DataFrame:
-    """(id, dim, v): components floor(scale * x) as 64-bit integers in a binary. Vectors null, empty, with null or
-    non-finite components or components that leave 31 bits, and rows without id, are left out."""
-    scaled = F.transform("vec", lambda c: F.floor(c.cast("double") * scale))
-    fits = F.forall("vec", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < 2.0**22))
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vec")).where("id is not null and size(vec) > 0")
-    rows = rows.where(F.coalesce(fits, F.lit(False))).select("id", F.size("vec").alias("dim"), scaled.alias("x"))
-    schema = pa.schema([("id", pa.int64()), ("dim", pa.int32()), ("v", pa.binary())])
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield emit(schema, [b.column(0), b.column(1), [np.asarray(v.values, dtype="<i8").tobytes() for v in b.column(2)]])
-
-    return rows.select("id", "dim", "x").mapInArrow(pack, "id long, dim int, v binary")
+from vacancia.llm.vectors import LEAST, as_matrix, products, whole_vectors
 
 
 @dataclass
@@ -99,7 +69,8 @@ def surviving(tree: CoverTree, data: list[np.ndarray], query: list[np.ndarray],
         cq, cx = tree.centres[i][q], tree.centres[j][x]
         nq, nx = np.linalg.norm(cq), np.linalg.norm(cx)
         top = cq @ cx + nq * rx + nx * rq + rq * rx
-        if top * (1 + 1e-9) + 1e-6 < worst[i][q]:
+        slack = 1e-9 * (nq + rq) * (nx + rx) + 1e-6
+        if max(top + slack, float(LEAST)) < worst[i][q]:
             continue
         open_query = i < leaf and counts[i][q] > most
         if open_query and (i <= j or j == leaf):
@@ -154,7 +125,7 @@ def _search(data: DataFrame, queries: DataFrame, k: int, leaves: int, sample: in
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = nearest(as_matrix(b.column(1).to_pylist()).astype(np.float64), tree.centres[-1])[0] if b.num_rows else np.zeros(0, int)
+            at = nearest(as_matrix(b.column(1).to_pylist()), tree.centres[-1])[0] if b.num_rows else np.zeros(0, int)
             nodes = [at]
             for parents in reversed(tree.parents[1:]):
                 nodes.append(parents[nodes[-1]])
@@ -211,7 +182,7 @@ def _search(data: DataFrame, queries: DataFrame, k: int, leaves: int, sample: in
                 ids = d.field("id").to_numpy()
                 order = np.argsort(ids)
                 marks = products(as_matrix(q.field("v").to_pylist()), as_matrix(d.field("v").to_pylist()))[:, order]
-                best = np.argsort(-marks, axis=1, kind="stable")[:, :k]
+                best = np.argsort(~marks, axis=1, kind="stable")[:, :k]  # ~ turns the order round without overflow
                 reps = np.repeat(q.field("id").to_numpy(), best.shape[1])
                 yield emit(schema, [reps, ids[order][best].ravel(), np.take_along_axis(marks, best, axis=1).ravel()])
 
