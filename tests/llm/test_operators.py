@@ -12,7 +12,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from vacancia.llm import brown, bwt, covertree, language, leaks, lines, pieces, quotes, shards, simhash
+from vacancia.llm import brown, bwt, covertree, language, leaks, lines, negatives, pieces, quotes, shards, simhash
 from vacancia.llm.common import connected
 
 WORDS = "the of and to in is that was with from alpha beta gamma delta river stone cloud paper table green".split()
@@ -177,20 +177,68 @@ def test_pieces(docs, rows, empty):
     assert pieces.digests(empty, model).count() == 0
 
 
+def kd_by_hand(units, shards):
+    """Shard of each unit (bytes, axis values, digits): split at the weighted quantile along the widest axis; equal places stay together."""
+    out = {}
+
+    def split(own, first, n):
+        if n == 1 or not own:
+            out.update((u, first) for u in own)
+            return
+        spread = [max(units[u][1][a] for u in own) - min(units[u][1][a] for u in own) for a in range(2)]
+        axis = spread.index(max(spread))
+        cells = collections.defaultdict(list)
+        for u in own:
+            cells[(units[u][1][axis], *units[u][2])].append(u)
+        want, before, left = sum(units[u][0] for u in own) * (n // 2) / n, 0, []
+        for place in sorted(cells):
+            heavy = sum(units[u][0] for u in cells[place])
+            if before + heavy > want and not want - before > heavy / 2:
+                break
+            left += cells[place]
+            before += heavy
+            if before > want:
+                break
+        split(left, first, n // 2)
+        split([u for u in own if u not in set(left)], first + n // 2, n - n // 2)
+
+    split(list(units), 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards_", [1, 2, 7, 12])
+def test_kd_tree_by_brute_force(spark, shards_):
+    rng = random.Random(shards_)
+    units = {i: (rng.choice([16, 17, 40, 900, 30_000]), (rng.randint(0, 5), rng.choice([0, 3, 60_000])), (rng.randint(0, 9), rng.randint(0, 4))) for i in range(300)}
+    df = spark.createDataFrame([(i, w, *a, *d) for i, (w, a, d) in units.items()], "unit int, bytes long, a int, b int, d int, e int")
+    got = {r.unit: r.shard for r in shards.kd_shards(df, ["a", "b"], ["d", "e"], shards_, tolerance=0).collect()}
+    assert got == kd_by_hand(units, shards_)
+
+
 def test_shards(spark, docs, rows, empty):
-    df = docs.withColumn("lang", F.when(F.col("doc_id") > 30, "en")).withColumn("n_chars", F.length("text"))
-    out = shards.shard_documents(df.where("length(text) < 1000 or text is null"), 5).collect()
-    small = [(i, t) for i, t in rows if t is None or len(t) < 1000]
+    long = [(900, "y" * 2_000_000), (901, "y" * 2_000_000), *((1000 + i, "again and again " * 5) for i in range(400)), *((2000 + i, "") for i in range(400))]
+    more = spark.createDataFrame([(i, t, 1, "z", 2.0, "q") for i, t in long], docs.schema)
+    df = docs.union(more).withColumn("lang", F.when(F.col("doc_id") > 30, "en")).withColumn("n_chars", F.length("text")).withColumn("shard", F.lit(3))
+    out = shards.shard_documents(df, 5).collect()
+    every = [*rows, *long]
     assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in out) == collections.Counter(
-        (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in small
+        (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in every
     )
-    by = collections.defaultdict(list)
+    by, groups = collections.defaultdict(list), collections.defaultdict(set)
     for r in out:
         by[r.shard].append(r)
-    sizes = [sum(r.size for r in by[s]) for s in range(5)]
-    assert max(sizes) - min(sizes) <= 3 * max(r.size for r in out)
+        groups[r.text_crc32, r.size].add(r.shard)
     assert all(sorted(r.slot for r in x) == list(range(len(x))) for x in by.values())
+    share = sum(r.size for r in out) / 5
+    large = {k for k, x in groups.items() if len(x) > 1}
+    assert large <= {(zlib.crc32(b"y" * 2_000_000), 2_000_016)} and 4_000_032 > share
+    small = shards.shard_documents(df.where("length(text) < 300 or text is null"), 5).collect()
+    sizes = collections.Counter()
+    for r in small:
+        sizes[r.shard] += r.size
+    assert len(sizes) == 5 and max(sizes.values()) < 1.2 * min(sizes.values())  # the copies, two thirds of the rows, are dealt out
     assert shards.shard_documents(empty, 5).count() == 0
+    assert {r.shard for r in shards.shard_documents(df.limit(1), 5).collect()} <= set(range(5))
 
 
 def test_cover_tree(spark):
@@ -209,6 +257,79 @@ def test_cover_tree(spark):
     assert covertree.top_k(df.limit(0), "id % 50 = 0").count() == 0
 
 
+def whole(v):
+    """Components floor(256 * x) as Python integers; None where the vector takes no part."""
+    x = None if not v or None in v else np.array(v, dtype=np.float32).astype(np.float64)
+    return None if x is None or not np.isfinite(x).all() else [int(c) for c in np.floor(256 * x)]
+
+
+def inner(a, b):
+    return min(max(sum(x * y for x, y in zip(a, b, strict=True)), -(1 << 63)), (1 << 63) - 1)
+
+
+def large_vectors(rng):
+    """Components past 31, 53 and 63 bits once scaled: none of them may fall out or lose a digit."""
+    out = [(700, [5e6, 1.0, 0.0, -3e7, 2.0, 0.5, 0.0, 1.0]), (701, [3e38] * 8), (702, [-3e38] * 8), (750, [1e15, -1e15, 0.25, 0.0, 0.0, 0.0, 0.0, 7.0])]
+    return out + [(710 + i, [float(np.float32(x)) for x in rng.normal(size=8) * 10.0 ** rng.integers(5, 12)]) for i in range(20)]
+
+
+def test_cover_tree_large_components(spark):
+    rng = np.random.default_rng(6)
+    vecs = [(i, [float(x) for x in rng.normal(size=8).round(2)]) for i in range(200)] + large_vectors(rng)
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<float>")
+    good = {i: whole(v) for i, v in vecs}
+    want = set()
+    for q in good:
+        if q % 50 == 0:
+            ranked = sorted((-inner(good[q], v), i) for i, v in good.items() if i != q)[:5]
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(ranked)}
+    got = covertree.top_k(df, "id % 50 = 0", leaves=16, sample=64, block=16)
+    assert set(bag(got, "query_id", "rank", "id", "score")) == want and any(q < 700 <= i for q, _, i, _ in want)
+
+
+def test_strassen():
+    rng = np.random.default_rng(3)
+    for m, k, n in [(1, 1, 1), (17, 18, 19), (64, 64, 64), (33, 70, 129), (100, 64, 1), (40, 33, 35)]:
+        a, b = rng.integers(-(1 << 20), 1 << 20, (m, k)), rng.integers(-(1 << 20), 1 << 20, (k, n))
+        assert (negatives.strassen(a, b) == a @ b).all()
+        x, y = a.astype(object) ** 5, b.astype(object) ** 5
+        assert (negatives.strassen(x, y) == x @ y).all()
+    wide = rng.integers(-(1 << 62), 1 << 62, (40, 40))  # wraps round, as the plain product does
+    assert (negatives.strassen(wide, wide) == wide @ wide).all()
+
+
+def negatives_by_hand(rows):
+    """rows: distinct (id, label, vector)."""
+    good = sorted({(i, c, tuple(whole(v))) for i, c, v in rows if i is not None and c is not None and whole(v)})
+    out = collections.Counter()
+    for i, c, v in good:
+        if i % 100 == 0:
+            scores = [(-inner(v, w), j, d) for j, d, w in good if j != i and len(w) == len(v)]
+            for s, j, _ in sorted(x for x in scores if x[2] == c)[:5]:
+                inside = sorted(x for x in scores if x[2] != c and -80 * s <= -100 * x[0] <= -100 * s)[:5]
+                out.update((i, j, n + 1, m, -s, -t) for n, (t, m, _) in enumerate(inside))
+    return out
+
+
+NEGATIVE = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def test_negatives(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(3, 8))
+    rows = [(i, int(rng.integers(0, 4)), [float(x) for x in (centres[i % 3] + rng.normal(size=8) * 0.1).round(1)]) for i in range(900)]
+    rows += [(1000 + 100 * i, i % 3, rows[i][2]) for i in range(6)] + [(2000 + i, i % 4, rows[0][2]) for i in range(60)]  # ties
+    rows += [(i, i % 2, v) for i, v in large_vectors(rng) if i != 700] + [(10_000, 0, [1e9] * 8), (10_001, 0, [1e9] * 8), (10_002, 1, [9e8] * 8)]
+    rows += [(3000, None, rows[1][2]), (3100, 1, None), (3200, 1, []), (3300, 1, [1.0, None] * 4), (3400, 1, [float("nan")] * 8), (3500, 1, [float("inf")] * 8), (None, 1, rows[2][2])]
+    rows += [(3600, 1, [1.0, 2.0]), (3601, 1, [1.0, 2.0]), (3602, 2, [1.0, 1.75]), (3700, 8, rows[4][2]), (3800, 9, [0.0] * 8), (3801, 9, [0.0] * 8), rows[0], rows[5]]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "vec_id long, label int, embedding array<float>, mark int, score int, dim int").repartition(5)
+    got = bag(negatives.hard_negatives(df, "id % 100 = 0", anchor_rows=4, candidate_rows=100), *NEGATIVE)
+    assert got == negatives_by_hand(rows) and max(got.values()) == 1
+    assert {r[0] for r in got} >= {100, 1100, 3600, 3800, 10_000} and 3700 not in {r[0] for r in got}  # without positives: no rows
+    assert negatives.hard_negatives(df.limit(0), "id % 100 = 0").count() == 0
+    assert negatives.hard_negatives(df.where("vec_id % 100 <> 0"), "id % 100 = 0").count() == 0
+
+
 def test_simhash(docs, rows, empty):
     def fingerprint(t):
         w = (t or "").encode().lower().split()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import brown, bwt, covertree, language, leaks, lines, pieces, quotes, shards, simhash
+from vacancia.llm import brown, bwt, covertree, language, leaks, lines, negatives, pieces, quotes, shards, simhash
 from vacancia.llm.common import stored, table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -127,6 +127,33 @@ SELECT d.doc_id, CAST(length(x) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remov
 FROM d LEFT JOIN t USING (doc_id)
 """
 
+
+
+def op11_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), "id % 100 = 0")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id AS id, a.label = d.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v d ON a.vec_id <> d.vec_id AND len(a.v) = len(d.v) WHERE a.vec_id % 100 = 0
+),
+p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id,
+       p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)
+QUALIFY rank <= 5
+"""
+
 QUERIES = {
     "op1_quotes": op1_quotes,
     "op2_language": op2_language,
@@ -138,5 +165,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_leaks": op9_leaks,
     "op10_repeats": op10_repeats,
+    "op11_strassen_negatives": op11_strassen_negatives,
 }
-ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL, "op10_repeats": OP10_SQL}
+ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL, "op10_repeats": OP10_SQL, "op11_strassen_negatives": OP11_SQL}
