@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import brown, bwt, covertree, language, leaks, lines, negatives, pieces, quotes, shards, simhash
+from vacancia.llm import brown, bwt, covertree, language, leaks, lines, negatives, pieces, quality, quotes, shards, simhash
 from vacancia.llm.common import stored, table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -154,6 +154,68 @@ WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)
 QUALIFY rank <= 5
 """
 
+
+def op12_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, text, coalesce('=' || lang, '') AS stratum, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents
+),
+words AS (SELECT r, unnest(w) AS w, unnest(range(len(w))) AS i FROM d),
+five AS (
+  SELECT r, i, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c, lead(w, 3) OVER o AS e, lead(w, 4) OVER o AS f FROM words
+  WINDOW o AS (PARTITION BY r ORDER BY i)
+),
+twice AS (SELECT r, i FROM five WHERE f IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, a, b, c, e, f) > 1),
+covered AS (
+  SELECT r, sum(least(5, i - before)) AS n FROM (SELECT r, i, coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -5) AS before FROM twice) GROUP BY r
+),
+counted AS (
+  SELECT d.r, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (r)
+),
+levels AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         least(1000, 1000 * n_symbols // greatest(word_chars, 1)) AS symbols, least(1000, 1000 * n_dup_lines // greatest(n_lines, 1)) AS dup_lines,
+         least(1000, 1000 * n_repeat_words // greatest(n_words, 1)) AS repeats, least(1000, 10 * word_chars // greatest(n_words, 1)) AS long_words,
+         1000 - least(1000, 100 * word_chars // greatest(n_words, 1)) AS short_words FROM counted
+),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+labelled AS (
+  UNPIVOT (SELECT stratum, good, symbols, dup_lines, repeats, long_words, short_words FROM levels JOIN marks USING (doc_id) WHERE NOT base_failed)
+  ON symbols, dup_lines, repeats, long_words, short_words INTO NAME rule VALUE level
+),
+tally AS (SELECT stratum, rule, level, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad FROM labelled GROUP BY ALL),
+sizes AS (SELECT stratum, CAST(sum(good) AS BIGINT) AS n FROM tally WHERE rule = 'symbols' GROUP BY stratum),
+terms AS (SELECT stratum, n, unnest(range(CAST(ceil(n * 0.004) AS BIGINT) + 1)) AS i FROM sizes),
+upto AS (
+  SELECT stratum, i, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.004) + (n - i) * ln(0.996))) OVER (PARTITION BY stratum ORDER BY i) AS p
+  FROM terms
+),
+allowed AS (
+  SELECT stratum, max(i) AS allowed FROM upto WHERE p <= 0.01 / (SELECT greatest(count(*) FILTER (n > 0), 1) FROM sizes) GROUP BY stratum
+),
+tried AS (SELECT stratum, rule, level, sum(good) OVER o AS wrong, sum(bad) OVER o AS right_ FROM tally WINDOW o AS (PARTITION BY stratum, rule ORDER BY level DESC)),
+cutoffs AS (
+  SELECT stratum, rule, level FROM tried JOIN allowed USING (stratum) WHERE wrong <= allowed AND right_ > wrong
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY right_ - wrong DESC, level DESC) = 1
+),
+wide AS (
+  SELECT stratum, max(level) FILTER (rule = 'symbols') AS a, max(level) FILTER (rule = 'dup_lines') AS b, max(level) FILTER (rule = 'repeats') AS c,
+         max(level) FILTER (rule = 'long_words') AS d, max(level) FILTER (rule = 'short_words') AS e FROM cutoffs GROUP BY stratum
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(symbols >= a, false) AND NOT coalesce(dup_lines >= b, false) AND NOT coalesce(repeats >= c, false)
+       AND NOT coalesce(long_words >= d, false) AND NOT coalesce(short_words >= e, false) AS kept
+FROM levels LEFT JOIN wide USING (stratum)
+"""
+
 QUERIES = {
     "op1_quotes": op1_quotes,
     "op2_language": op2_language,
@@ -166,5 +228,6 @@ QUERIES = {
     "op9_leaks": op9_leaks,
     "op10_repeats": op10_repeats,
     "op11_strassen_negatives": op11_strassen_negatives,
+    "op12_risk_rules": op12_risk_rules,
 }
-ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL, "op10_repeats": OP10_SQL, "op11_strassen_negatives": OP11_SQL}
+ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL, "op10_repeats": OP10_SQL, "op11_strassen_negatives": OP11_SQL, "op12_risk_rules": OP12_SQL}
