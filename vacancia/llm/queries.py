@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import brown, bwt, covertree, language, leaks, lines, negatives, pieces, quality, quotes, shards, simhash
+from vacancia.llm import brown, bwt, covertree, language, leaks, lines, negatives, periodic, pieces, quality, quotes, shards, simhash
 from vacancia.llm.common import stored, table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -216,6 +219,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM levels LEFT JOIN wide USING (stratum)
 """
 
+def planted_runs(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places of words that make every tenth document periodic from a word on, by the CRC-32 of its id; null ids stay."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    places = np.arange(n)
+    places[a:] = a + (places[a:] - a) % p
+    return places
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.periodic_runs(table(spark, sf_dir, "documents"), rearrange=planted_runs)
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    out = out.withColumn("best", best).withColumn("length", -F.col("best.l"))
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "length",
+        "best.period",
+        F.expr("1000 * length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quotes": op1_quotes,
     "op2_language": op2_language,
@@ -229,5 +262,6 @@ QUERIES = {
     "op10_repeats": op10_repeats,
     "op11_strassen_negatives": op11_strassen_negatives,
     "op12_risk_rules": op12_risk_rules,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {"op3_line_runs": OP3_SQL, "op7_cover_tree": OP7_SQL, "op10_repeats": OP10_SQL, "op11_strassen_negatives": OP11_SQL, "op12_risk_rules": OP12_SQL}
