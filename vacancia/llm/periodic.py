@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +21,9 @@ CELLS = 1 << 20  # numbers transformed at once
 NEVER = np.iinfo(np.int64).max
 
 
+@lru_cache(maxsize=32)
 def _twiddles(size: int, invert: bool) -> np.ndarray:
-    """The first half of the powers of a root of unity of order ``size``, by doubling."""
+    """The first half of the powers of a root of unity of order ``size``, by doubling. Kept: a task needs the same ones for every text."""
     root = pow(ROOT, (PRIME - 1) // size, PRIME)
     root = pow(root, -1, PRIME) if invert else root
     out = np.ones(1, dtype=np.uint64)
@@ -130,22 +134,22 @@ def find_runs(x: np.ndarray) -> list[tuple[int, int, int]]:
         return []
     grams, width = x.astype(np.int64), 1
     ahead = _next(grams)
+    again = np.count_nonzero(ahead < NEVER)
     while 4 * block <= n:
         if width < min(block, GRAM):
             grams = _pairs(grams, width)
             width *= 2
             ahead = _next(grams)
-        count = n // block - 1
-        reach = np.full(count * block, 0, dtype=np.int64)
-        known = ahead[: count * block]
-        reach[: len(known)] = known
-        near = reach.reshape(count, block)[:, : block - width + 1].max(axis=1) < 2 * block
+            again = np.count_nonzero(ahead < NEVER)
+        if again < block - width + 1:
+            break  # no block of this or a larger size can occur again
+        blocks = n // block - 1
+        reach = ahead[: blocks * block].reshape(blocks, block)[:, : block - width + 1]
+        near = reach.max(axis=1) < 2 * block
         if not near.any():
-            if width == GRAM and not (ahead < NEVER).any():
-                break
             block *= 2
             continue
-        starts = np.arange(count)[near] * block
+        starts = np.flatnonzero(near) * block
         left, right = np.zeros(len(starts), dtype=np.int64), np.full(len(starts), -1, dtype=np.int64)  # the known run around a block
         for start, length, period in runs:
             if 2 * period <= block <= length:
@@ -201,8 +205,8 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", r
         order = rearrange(key, len(own)) if rearrange else None
         if order is not None:
             own = [own[i] for i in order]
-        numbers: dict[bytes, int] = {}
-        x = np.fromiter((numbers.setdefault(w, len(numbers) + 1) for w in own), np.int64, len(own))
+        numbers: dict[bytes, int] = defaultdict(count(1).__next__)
+        x = np.fromiter(map(numbers.__getitem__, own), np.int64, len(own))
         runs, kept = find_runs(x), np.ones(len(own), dtype=bool)
         for start, length, period in runs:
             kept[start + period : start + length] = False
