@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vacancia.functions import band, engagement, experience_group, flag, safe_ratio, text_length
 from vacancia.functions.measures import BANDS_40_80_150
-from vacancia.operators.ranks import quantile, quantiles
+from vacancia.operators.ranks import column_quantiles, quantiles
 
 
 def disclosure(df: DataFrame, salary: str = "normalized_salary") -> DataFrame:
@@ -51,11 +51,23 @@ def salary_bands(
     return df.withColumn(name, band(salary, edges, labels, guard_nonpositive))
 
 
+def quantile_flags(df: DataFrame, flags: Mapping[str, tuple[str, float, str]], approx: bool = False) -> DataFrame:
+    """For each name: (column, quantile, ``>=`` or ``>``), 1 where the column is beyond its own quantile, else 0.
+
+    The thresholds of all flags come from the same two scans, as one row that is read once.
+    """
+    cuts = column_quantiles(df, {name: (col, q) for name, (col, q, _) in flags.items()}, approx)
+    marked = df.withColumn("_cuts", cuts.select(F.struct(*flags)).scalar())
+    beyond = {
+        name: F.col(col) >= F.col(f"_cuts.{name}") if op == ">=" else F.col(col) > F.col(f"_cuts.{name}")
+        for name, (col, _, op) in flags.items()
+    }
+    return marked.withColumns({name: F.when(test, 1).otherwise(0) for name, test in beyond.items()}).drop("_cuts")
+
+
 def quantile_flag(df: DataFrame, col: str, q: float, op: str, name: str, approx: bool = False) -> DataFrame:
     """1 where the column is beyond its own quantile. The threshold is one number, read once."""
-    cut = quantile(df, col, q, approx)
-    above = F.col(col) >= cut if op == ">=" else F.col(col) > cut
-    return df.withColumn(name, F.when(above, 1).otherwise(0))
+    return quantile_flags(df, {name: (col, q, op)}, approx)
 
 
 def threshold_flag(df: DataFrame, col: str, threshold: float, name: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer, and a running
 sum over a whole table sorts it in one task. Neither survives a group that holds
-a third of a very large table. Both are done here in two steps: a mergeable
-sketch says where to look, and an exact pass counts.
+a third of a very large table. Both are done here in steps: a mergeable
+sketch says where to look, exact counts of cells narrow that down, and what is
+left is sorted cell by cell.
 """
 
 from __future__ import annotations
@@ -18,12 +19,35 @@ from pyspark.sql import functions as F
 
 # The sketch is right within n / SKETCH ranks. Groups of up to SKETCH rows are taken whole.
 SKETCH = 10_000
+# A bracket's values are ranked in this many cells, each by itself.
+CELLS = 64
+# A group's rows meet its figures in this many tasks, where the figures are too many to broadcast.
+SPREAD = 8
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)))
 
 
+def with_group(rows: DataFrame, side: DataFrame, by: Sequence[str], mix: str, spread: int = SPREAD) -> DataFrame:
+    """``rows`` with the other columns of their group's one row in ``side``; null keys are equal, rows without a group go.
+
+    Spark broadcasts the side where its size allows. Where it does not, a hot group must not arrive in one task: rows are
+    dealt over ``spread`` salts (by ``mix`` and the map task, so that a frequent value is dealt out as well, and the
+    same way when a task is repeated), and every salt gets a copy of the side.
+    """
+    by = list(by)
+    if not by:
+        return rows.withColumn("_s", side.select(F.struct(*side.columns)).scalar()).select(*rows.columns, "_s.*")
+    renamed = [f"_k{i}" for i in range(len(by))]
+    more = [c for c in side.columns if c not in by]
+    copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_copy")
+    side = side.select(*(F.col(k).alias(r) for k, r in zip(by, renamed)), *more, copies)
+    salt = F.pmod(F.xxhash64(mix) + F.spark_partition_id(), F.lit(spread)).cast("int")
+    met = rows.withColumn("_salt", salt).join(side, _same(by, renamed) & (F.col("_salt") == F.col("_copy")))
+    return met.select(*rows.columns, *more)
+
+
 def quantiles(
     df: DataFrame,
     value: str | Column,
@@ -37,10 +61,11 @@ def quantiles(
     One row per group, or exactly one row when ``by`` is empty (nulls over no values).
     Nulls and NaN of ``value`` are left out; a null group is a group.
 
-    Pass 1 sketches each group (bounded state, merged map-side). Around each
-    wanted rank the sketch gives a bracket holding about 8 / ``sketch`` of the group. Pass 2
-    counts: rows outside all brackets are folded into the bracket end below
-    them before anything is shuffled, so only brackets are ever sorted.
+    Pass 1 sketches each group (bounded state, merged map-side). Around each wanted rank the sketch gives a
+    bracket holding about 8 / ``sketch`` of the group. Pass 2 counts values: rows outside all brackets are folded into the
+    bracket end below them before anything is shuffled. Then ranks are found in rounds: the counts of CELLS cells
+    per bracket (a bounded number of rows per group) say which cells hold a wanted rank, and only those cells are
+    sorted, each by itself. No window sees a group, or a whole column, of data rows.
     """
     by = list(by)
     v = F.col(value) if isinstance(value, str) else value
@@ -51,7 +76,8 @@ def quantiles(
         return out.select(*by, *(F.col("_q")[i].alias(name) for i, name in enumerate(probs)))
 
     margin = 4.0 / sketch
-    cuts = [c for p in probs.values() for c in (max(0.0, p - margin), min(1.0, p + margin))]
+    points = sorted(set(probs.values()))
+    cuts = [c for p in points for c in (max(0.0, p - margin), min(1.0, p + margin))]
     sketched = rows.groupBy(*by).agg(
         F.count("*").alias("_n"),
         F.percentile_approx("_v", cuts, sketch).alias("_a"),
@@ -60,41 +86,56 @@ def quantiles(
     )
     small = F.col("_n") <= sketch
 
-    def bounds(i: int, p: float) -> Column:
+    def bounds(i: int, p: float) -> list[Column]:
         low = F.col("_min") if p - margin <= 0 else F.when(small, F.col("_min")).otherwise(F.col("_a")[2 * i])
         high = F.col("_max") if p + margin >= 1 else F.when(small, F.col("_max")).otherwise(F.col("_a")[2 * i + 1])
-        return F.struct(low.alias("lo"), high.alias("hi"))
-
-    info = F.struct("_n", *(bounds(i, p).alias(f"b{i}") for i, p in enumerate(probs.values()))).alias("_s")
-    if by:
-        renamed = [f"_k{i}" for i in range(len(by))]
-        side = sketched.select(*(F.col(k).alias(r) for k, r in zip(by, renamed)), info)
-        placed = rows.join(side, _same(by, renamed)).select(*by, "_v", "_s")
-    else:
-        placed = rows.withColumn("_s", sketched.select(info).scalar())
+        return [low.alias(f"_lo{i}"), high.alias(f"_hi{i}")]
 
-    lo = [F.col(f"_s.b{i}.lo") for i in range(len(probs))]
-    hi = [F.col(f"_s.b{i}.hi") for i in range(len(probs))]
+    side = sketched.select(*by, "_n", *(c for i, p in enumerate(points) for c in bounds(i, p)))
+    placed = with_group(rows, side, by, "_v")
+    lo, hi = ([F.col(f"_{end}{i}") for i in range(len(points))] for end in ("lo", "hi"))
     inside = reduce(lambda a, b: a | b, (F.col("_v").between(a, b) for a, b in zip(lo, hi)))
     below = [F.when(h < F.col("_v"), h).otherwise(F.lit(-math.inf)) for h in hi]
     folded = F.when(inside, F.col("_v")).otherwise(F.greatest(*below) if len(below) > 1 else below[0])
-    counted = (
-        placed.select(*by, F.col("_s._n").alias("_n"), folded.alias("_x"), inside.cast("long").alias("_in"))
-        .groupBy(*by, "_n", "_x")
-        .agg(F.count("*").alias("_c"), F.sum("_in").alias("_own"))
+    at = placed.select(*by, "_n", *lo, *hi, folded.alias("_x"), inside.cast("long").alias("_in"))
+
+    def cell(i: int) -> Column:
+        """Place of a value in bracket i; over a range of no width or of infinite width it is the first cell."""
+        share = F.try_divide(F.col("_x") - lo[i], hi[i] - lo[i])
+        share = F.nanvl(F.coalesce(share, F.lit(0.0)), F.lit(0.0))
+        return F.when(F.col("_x").between(lo[i], hi[i]), i * CELLS + F.least(F.floor(share * CELLS), F.lit(CELLS - 1)))
+
+    # The first bracket that has a value gives its cell, so cells rise with the values even where brackets overlap.
+    cells = F.coalesce(*(cell(i) for i in range(len(points))), F.lit(-1)).cast("int")
+    counted = at.select(*by, "_n", "_x", "_in", cells.alias("_cell")).groupBy(*by, "_n", "_cell", "_x")
+    counted = counted.agg(F.count("*").alias("_c"), F.sum("_in").alias("_own"))
+
+    def ranks(p: float) -> list[Column]:
+        t = (F.col("_n") - 1) * F.lit(float(p))
+        return [F.floor(t), F.ceil(t)]
+
+    # At most len(points) * CELLS + 1 rows per group.
+    upto = F.sum("_c").over(W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow))
+    totals = counted.groupBy(*by, "_n", "_cell").agg(F.sum("_c").alias("_c")).withColumn("_before", upto - F.col("_c"))
+    wanted = reduce(
+        lambda a, b: a | b,
+        ((F.col("_before") <= r) & (r < F.col("_before") + F.col("_c")) for p in points for r in ranks(p)),
     )
-    # The window sorts brackets only; ranks run from 0.
-    upto = F.sum("_c").over(W.partitionBy(*by).orderBy("_x").rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = counted.withColumn("_before", upto - F.col("_c"))
+    renamed = [f"_k{i}" for i in range(len(by))]
+    hit = totals.where(wanted).select(*(F.col(k).alias(r) for k, r in zip(by, renamed)), F.col("_cell").alias("_hit"), "_before")
+    same_cell = F.col("_cell") == F.col("_hit")
+    few = counted.join(hit, _same(by, renamed) & same_cell if by else same_cell).drop("_hit", *renamed)
+    within = W.partitionBy(*by, "_cell").orderBy("_x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = few.withColumn("_before", F.col("_before") + F.sum("_c").over(within) - F.col("_c"))
 
-    def at(rank: Column) -> Column:
-        hit = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_own"))
-        return F.max(F.when(hit, F.col("_x")))
+    def value_of(rank: Column) -> Column:
+        own = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_own"))
+        return F.max(F.when(own, F.col("_x")))
 
     picks = []
     for name, p in probs.items():
-        t = (F.col("_n") - 1) * F.lit(float(p))
-        picks += [at(F.floor(t)).alias(f"_f_{name}"), at(F.ceil(t)).alias(f"_c_{name}")]
+        low, high = ranks(p)
+        picks += [value_of(low).alias(f"_f_{name}"), value_of(high).alias(f"_c_{name}")]
     picked = ranked.groupBy(*by).agg(F.max("_n").alias("_n"), *picks)
 
     def interpolated(name: str, p: float) -> Column:
@@ -107,6 +148,18 @@ def quantiles(
     return picked.select(*by, *(interpolated(name, p) for name, p in probs.items()))
 
 
+def column_quantiles(df: DataFrame, wanted: Mapping[str, tuple[str, float]], approx: bool = False, sketch: int = SKETCH) -> DataFrame:
+    """One row with a quantile per entry of ``wanted`` (name: (column, probability)): all columns share the two scans."""
+    columns = sorted({c for c, _ in wanted.values()})
+    points = {f"p{i}": p for i, p in enumerate(sorted({p for _, p in wanted.values()}))}
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in columns))).alias("e")
+    long = df.select(pairs).select("e.*")
+    found = quantiles(long, "_value", points, ["_column"], approx, sketch)
+    at = {p: name for name, p in points.items()}
+    picks = [F.max(F.when(F.col("_column") == c, F.col(at[p]))).alias(name) for name, (c, p) in wanted.items()]
+    return found.agg(*picks)
+
+
 def quantile(df: DataFrame, value: str | Column, p: float, approx: bool = False) -> Column:
     """One quantile of the whole column as a scalar subquery, usable in any expression."""
     return quantiles(df, value, {"q": p}, approx=approx).scalar()

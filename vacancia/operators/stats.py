@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.operators.keys import top_k
-from vacancia.operators.ranks import first_by_hash, quantiles
+from vacancia.operators.ranks import first_by_hash, quantiles, with_group
 
 
 def _same_keys(df: DataFrame, other: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
@@ -204,10 +204,10 @@ def histogram(
 
 def box_stats(df: DataFrame, by: str, val: str, whisker: float = 1.5) -> DataFrame:
     """Per group: quartiles, the outermost values within 1.5 interquartile ranges, and how many lie beyond."""
-    rows = _grouped(df, [by]).where(F.col(val).isNotNull())
-    q = quantiles(rows, val, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+    rows = _grouped(df, [by]).where(F.col(val).isNotNull()).select(by, F.col(val).alias("_v"))
+    q = quantiles(rows, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     reach = (F.col("q3") - F.col("q1")) * whisker
-    fenced = _same_keys(rows.select(by, F.col(val).alias("_v")), q, [by])
+    fenced = with_group(rows, q, [by], "_v")
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
         fenced.groupBy(by, "q1", "median", "q3")

@@ -158,8 +158,8 @@ def build_master(
     if variant == "etl":
         df = posting_features(etl_salary(df), approx)
     else:
-        for col, name in (("views", "is_high_views"), ("applies", "is_high_applies")):
-            df = ft.quantile_flag(df, col, 0.75, ">", name, approx)
+        high = {"is_high_views": ("views", 0.75, ">"), "is_high_applies": ("applies", 0.75, ">")}
+        df = ft.quantile_flags(df, high, approx)
         sal = clean_salaries(tables["salaries"], approx=approx)
         cols = ["normalized_salary", "min_salary", "max_salary", "med_salary", "pay_period", "currency", "compensation_type"]
         df = enrich(df, sal, "job_id", [c for c in cols if c in sal.columns], suffix="_sal")

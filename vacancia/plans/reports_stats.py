@@ -512,8 +512,7 @@ def top_skills(spark, d):
 )
 def hot_flags(spark, d):
     df = s.postings(spark, d).select("job_id", "views")
-    df = ft.quantile_flag(df, "views", 0.75, ">=", "at_or_above_p75")
-    df = ft.quantile_flag(df, "views", 0.75, ">", "above_p75")
+    df = ft.quantile_flags(df, {"at_or_above_p75": ("views", 0.75, ">="), "above_p75": ("views", 0.75, ">")})
     return ft.threshold_flag(df, "views", 8, "at_least_8")
 
 
