@@ -35,14 +35,14 @@ def test_top_matches_equal_brute_force(spark):
             got.setdefault(r["profile_id"], []).append((r["job_id"], round(r["score"], 9)))
             assert set(r["missing_skills"]) == jobs[r["job_id"]] - people[r["profile_id"]]
             assert set(r["required_skills"]) == jobs[r["job_id"]]
-        grouped = matching.top_matches(*_frames(spark, people, jobs), k, max_skills=3).select("profile_id", "job_id", "score")
-        coded = matching.top_matches(*_frames(spark, people, jobs), k).select("profile_id", "job_id", "score")
-        assert sorted(grouped.collect()) == sorted(coded.collect())
+        unbounded = matching.top_matches(*_frames(spark, people, jobs), k, sample=1).select("profile_id", "job_id", "score")
+        bounded = matching.top_matches(*_frames(spark, people, jobs), k).select("profile_id", "job_id", "score")
+        assert sorted(unbounded.collect()) == sorted(bounded.collect())
         want = _brute(people, jobs, k)
         assert {p: sorted(v, key=lambda x: (-x[1], x[0])) for p, v in got.items()} == want
 
 
-def test_more_skills_than_bits_of_a_word(spark):
+def test_many_skills(spark):
     rng = random.Random(6)
     names = [f"s{i:03}" for i in range(150)]
     jobs = {i: set(rng.sample(names, rng.randint(1, 20))) for i in range(120)}
@@ -53,6 +53,25 @@ def test_more_skills_than_bits_of_a_word(spark):
     assert {p: sorted(v, key=lambda x: (-x[1], x[0])) for p, v in got.items()} == _brute(people, jobs, 4)
 
 
+def test_bounds_prune_and_frequent_skills_are_dealt_out(spark, monkeypatch):
+    """A skill that every job asks for, and one of its own: the index finds the own one, and long lists split."""
+    monkeypatch.setattr(matching, "LIST", 50)
+    rng = random.Random(7)
+    names = [f"s{i}" for i in range(200)]
+    jobs = {i: {"common", *rng.sample(names, rng.randint(0, 7))} for i in range(1500)}
+    people = {i: {"common", *rng.sample(names, 5)} for i in range(40)}
+    people |= {100 + i: set(jobs[i * 7]) for i in range(20)}
+    p, j = _frames(spark, people, jobs)
+    got = {}
+    for r in matching.top_matches(p, j, 3).collect():
+        got.setdefault(r["profile_id"], []).append((r["job_id"], round(r["score"], 9)))
+    assert {i: sorted(v, key=lambda x: (-x[1], x[0])) for i, v in got.items()} == _brute(people, jobs, 3)
+    job_sets = j.groupBy("required_skills").agg(F.min("job_id").alias("jset"))
+    mine = matching.skill_sets(p).groupBy("have").agg(F.min("profile_id").alias("pset"))
+    met = matching.candidates(matching.kth_score_bounds(mine, job_sets, 3, 500), job_sets)
+    assert 0 < met.count() < 0.5 * mine.count() * job_sets.count()
+
+
 def test_few_jobs_fill_with_zero_scores(spark):
     jobs = {3: {"a"}, 1: {"b"}, 2: set(), 9: {"a", "b"}}
     people = {7: {"a"}, 8: {"z"}}

@@ -141,3 +141,21 @@ def test_level_guard(spark):
 def test_standardize_constant_column(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert sorted(map(tuple, prepare.standardize(df, ["a", "b"]).collect())) == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_silhouette_of_all_rows_by_brute_force(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(c, 1.0, (60, 3)) for c in (0, 4, 9)] + [np.zeros((1, 3)), np.full((4, 3), 7.0)])
+    c = [i // 60 for i in range(180)] + [7] + [8] * 4
+    df = spark.createDataFrame([(int(k), [float(v) for v in p]) for k, p in zip(c, x)] + [(None, [1.0] * 3), (2, None)], "c int, f array<double>").repartition(3)
+    c, gap, total = np.array(c), ((x[:, None] - x[None]) ** 2).sum(axis=2), 0.0
+    for i in range(len(x)):
+        if (c == c[i]).sum() > 1:
+            a = gap[i][c == c[i]].sum() / ((c == c[i]).sum() - 1)
+            b = min(gap[i][c == k].mean() for k in set(c) - {c[i]})
+            total += (b - a) / max(a, b)
+    got = evaluate.silhouette_all(df, "f", "c").first()
+    assert (got.silhouette, got.n) == (pytest.approx(total / len(x)), len(x))
+    one = evaluate.silhouette_all(df.where("c = 0"), "f", "c").first()
+    assert one.silhouette is None and one.n == 60
+    assert evaluate.silhouette_all(df.limit(0), "f", "c").first().n == 0

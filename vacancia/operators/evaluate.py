@@ -95,6 +95,37 @@ def auc(df: DataFrame, y: str, score: str) -> DataFrame:
     return sums.select(F.try_divide(F.col("a"), F.col("p").cast("double") * F.col("n")).alias("auc"))
 
 
+def silhouette_all(df: DataFrame, features: str, cluster: str) -> DataFrame:
+    """Mean silhouette of all rows on squared Euclidean distances, and their number, in two linear passes.
+
+    The distances of a point x to a cluster's n points y sum up to n |x|^2 + sum |y|^2 - 2 x . sum y, so a cluster is its size
+    and two sums. They are one value (clusters times dimensions) that every row is measured against. A point alone in
+    its cluster scores 0; rows without cluster or features are left out; one cluster alone scores nothing (null).
+    """
+    rows = df.select(F.col(cluster).alias("_c"), F.col(features).cast("array<double>").alias("_f")).where("_c is not null and _f is not null")
+    sums = rows.select("_c", F.posexplode("_f").alias("_d", "_v")).groupBy("_c", "_d")
+    sums = sums.agg(F.count("*").alias("n"), F.sum("_v").alias("s"), F.sum(F.col("_v") * F.col("_v")).alias("q"))
+    centre = F.transform(F.sort_array(F.collect_list(F.struct("_d", "s"))), lambda x: x["s"])
+    stats = sums.groupBy("_c").agg(F.max("n").alias("n"), centre.alias("s"), F.sum("q").alias("q"))
+    clusters = stats.agg(F.collect_list(F.struct("_c", "n", "s", "q")).alias("k")).scalar()
+    zero = F.lit(0.0)
+    square = F.aggregate("_f", zero, lambda a, v: a + v * v)
+
+    def apart(k):
+        dot = F.aggregate(F.zip_with("_f", k["s"], lambda x, y: x * y), zero, lambda a, v: a + v)
+        total = F.greatest(k["n"] * F.col("_q") + k["q"] - 2 * dot, zero)
+        own = k["_c"] == F.col("_c")
+        return F.struct(own.alias("own"), k["n"].alias("n"), (total / F.when(own, F.greatest(k["n"] - 1, F.lit(1))).otherwise(k["n"])).alias("mean"))
+
+    met = rows.withColumns({"_k": clusters, "_q": square}).select(F.transform("_k", apart).alias("m"))
+    inner = F.get(F.filter("m", lambda x: x["own"]), F.lit(0))
+    outer = F.array_min(F.transform(F.filter("m", lambda x: ~x["own"]), lambda x: x["mean"]))
+    point = met.select(inner.alias("i"), outer.alias("o"))
+    gap = F.coalesce(F.try_divide(F.col("o") - F.col("i.mean"), F.greatest("o", "i.mean")), zero)
+    scored = point.select(F.when(F.col("o").isNotNull(), F.when(F.col("i.n") > 1, gap).otherwise(zero)).alias("s"))
+    return scored.agg(F.avg("s").alias("silhouette"), F.count("*").alias("n"))
+
+
 def silhouette(
     df: DataFrame, features: str, cluster: str, keys: Sequence[str], sample: int = 5_000, seed: int = 42
 ) -> DataFrame:

@@ -4,11 +4,14 @@ A score depends on the two skill sets alone, and there are far fewer sets than
 jobs or profiles. So sets are compared, once each, and a set stands for its
 first k jobs: jobs of one set tie, and ties go to the smaller job id, so no later
 job of a set can enter a top k. Nothing is dropped by this; the lists are exact.
+Sets meet in an inverted index, asked only for the skills and set sizes that a
+profile's kth best score, bounded from below beforehand, leaves possible.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from vacancia.functions import contains_text
 from vacancia.operators.children import child_set
 from vacancia.operators.keys import first_per_key
+from vacancia.sources.tables import stored
 
 # Words that stand for a broad skill.
 SKILL_ALIASES = {
@@ -111,49 +115,90 @@ def score_jobs(profile: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 BITS = 62
+# Job sets per list and task: longer lists are dealt out.
+LIST = 2_000
 
 
-def _scored_sets(people_sets: DataFrame, job_sets: DataFrame, spread: int, max_skills: int) -> DataFrame:
-    """(pset, jset, score) for every profile set and job set with a common skill.
+def _tasks(df: DataFrame) -> int:
+    """Small rows with much work each: as many tasks as there are cores, whatever their size."""
+    return 2 * df.sparkSession.sparkContext.defaultParallelism
 
-    There are few skills, so a skill alone makes too few and too large parts: profile sets spread
-    over ``spread`` parts of each skill, job sets go to every part. With up to ``max_skills`` skills (they are
-    counted first) a set is a few integers, one bit per skill: a pair meets under every common skill,
-    counts under the first of them, and nothing is left to group. With more, pairs are grouped and counted.
+
+def _all(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda x, y: x & y, conditions)
+
+
+def _log_size(size: Column) -> Column:
+    return F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double"))).cast("int")
+
+
+def kth_score_bounds(people_sets: DataFrame, job_sets: DataFrame, k: int, sample: int) -> DataFrame:
+    """(pset, items, bound) per profile set: its skills, rare ones first, and a score that its kth best job set reaches at least.
+
+    The bound is the kth best score among ``sample`` job sets of least hash, 0 where fewer than k of them share a skill: any
+    part of the job sets gives a bound that holds for all. Skills no job asks for are the rarest.
+    """
+    frequency = job_sets.select(F.explode("required_skills").alias("skill")).groupBy("skill").agg(F.count("*").alias("n"))
+    ranked = people_sets.select("pset", F.explode("have").alias("skill")).join(frequency, "skill", "left")
+    ranked = ranked.groupBy("pset").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "skill"))).alias("r"))
+    few = job_sets.select("required_skills", "jset").orderBy(F.xxhash64("jset"), "jset").limit(sample)
+    few = few.agg(F.collect_list("required_skills").alias("s")).scalar()  # at most `sample` sets
+    mine = ranked.select("pset", F.transform("r", lambda x: x["skill"]).alias("items"))
+    mine = mine.repartition(_tasks(job_sets), "pset").withColumn("_few", few)
+    met = F.transform("_few", lambda s: F.struct(F.size(F.array_intersect("items", s)).alias("c"), F.size(s).alias("b")))
+    scores = F.transform(met, lambda x: jaccard(x["c"].cast("double"), F.size("items"), x["b"]))
+    kth = F.coalesce(F.get(F.sort_array(scores, asc=False), F.lit(k - 1)), F.lit(0.0))
+    return mine.select("pset", "items", kth.alias("bound"))
+
+
+def _signature(items: Column) -> Column:
+    """One bit of 62 per skill. Each bit that only one of two sets has is a skill that only this one has."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(x), F.lit(BITS)).cast("int"))
+    return F.aggregate(items, F.lit(0).cast("bigint"), lambda m, x: m.bitwiseOR(bit(x)))
+
+
+def candidates(bounded: DataFrame, job_sets: DataFrame) -> DataFrame:
+    """(pset, items, bound, skill, jset, required_skills) of the pairs that meet in the inverted index of the job sets.
+
+    Job sets stand in a list for each skill and order of size. A set that reaches score t with one of a skills has between
+    t * a and a / t skills and shares one of the a - ceil(t * a) + 1 rarest, so a profile set only asks for those
+    skills and sizes. Lists longer than LIST are dealt out in parts, each of which is asked. A pair is let through if the
+    signatures of the two sets leave the bound possible; that is decided inside the join, on numbers alone.
+    """
+    index = job_sets.withColumns({"sig_b": _signature(F.col("required_skills")), "b": F.size("required_skills")})
+    index = index.select("jset", "required_skills", "sig_b", "b", _log_size(F.col("b")).alias("order"), F.explode("required_skills").alias("skill"))
+    lists = index.groupBy("skill", "order").agg(F.ceil(F.count("*") / LIST).cast("int").alias("parts"))
+    a, b, t = F.col("a"), F.col("b"), F.col("bound")
+    bounded = bounded.withColumns({"sig_a": _signature(F.col("items")), "a": F.size("items")})
+    prefix = F.slice("items", F.lit(1), F.greatest(a - F.ceil(t * a - 1e-9).cast("int") + 1, F.lit(1)))
+    own = ["pset", "items", "bound", "sig_a", "a"]
+    asked = bounded.select(*own, F.explode(F.when(t > 0, prefix).otherwise(F.col("items"))).alias("skill"))
+    low, high = _log_size(F.ceil(t * a - 1e-9)), _log_size(F.floor(F.try_divide(a, t) + 1e-9))
+    asked = asked.join(lists, "skill").where((F.col("order") >= low) & ((t == 0) | (F.col("order") <= high)))
+    asked = asked.select(*own, "skill", "order", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dealt = index.join(lists, ["skill", "order"]).withColumn("part", F.pmod(F.xxhash64("jset"), F.col("parts")).cast("int"))
+    dealt = dealt.select("jset", "required_skills", "sig_b", "b", *(F.col(c).alias(f"_{c}") for c in ("skill", "order", "part")))
+    asked = asked.repartition(_tasks(job_sets), "skill", "order", "part")
+    same = _all(F.col(c) == F.col(f"_{c}") for c in ("skill", "order", "part"))
+    sizes = (b >= t * a - 1e-9) & (b * t <= a + 1e-9)
+    only = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y))))
+    most = F.least(a - only("sig_a", "sig_b"), b - only("sig_b", "sig_a"))  # shared skills
+    reach = most * (1 + t) >= t * (a + b) - 1e-9
+    return asked.join(dealt, same & sizes & reach).select("pset", "items", "bound", "skill", "jset", "required_skills")
+
+
+def best_job_sets(people_sets: DataFrame, job_sets: DataFrame, k: int, sample: int = 1000) -> DataFrame:
+    """(pset, jset, score) of the pairs with a common skill among which are each profile set's k best.
+
+    A pair that meets under several skills counts under the first of them.
     """
-    part = F.pmod(F.xxhash64("pset"), F.lit(spread)).cast("int").alias("part")
-    left = people_sets.select("pset", F.size("have").alias("a"), part, F.explode("have").alias("skill"))
-    right = job_sets.select("jset", F.size("required_skills").alias("b"), F.explode("required_skills").alias("skill"))
-    parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part")
-    known = [r["skill"] for r in right.select("skill").distinct().limit(max_skills + 1).collect()]
-    if len(known) > max_skills:
-        met = left.join(right.select("*", parts), ["skill", "part"])
-        shared = met.groupBy("pset", "jset", "a", "b").agg(F.count("*").alias("c"))
-        return shared.select("pset", "jset", jaccard(F.col("c"), F.col("a"), F.col("b")).alias("score"))
-
-    spark = people_sets.sparkSession
-    numbers = spark.createDataFrame(list(enumerate(sorted(known))), "no int, skill string")
-    words = range(-(-len(known) // BITS))
-
-    def coded(rows: DataFrame, key: str, size: str, prefix: str, extra: list[str]) -> DataFrame:
-        numbered = rows.join(F.broadcast(numbers), "skill")  # at most max_skills rows
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("no") % BITS)
-        mask = [
-            F.bit_or(F.when(F.floor(F.col("no") / BITS) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"{prefix}{w}")
-            for w in words
-        ]
-        sets = numbered.groupBy(key, size, *extra).agg(F.collect_list("no").alias("nos"), *mask)
-        return sets.select(key, size, *extra, *(f"{prefix}{w}" for w in words), F.explode("nos").alias("no"))
-
-    # Small rows, much work per row: as many parts as there are cores, whatever their size.
-    cores = spark.sparkContext.defaultParallelism
-    people = coded(left, "pset", "a", "l", ["part"]).repartition(2 * cores, "no", "part")
-    met = people.join(coded(right, "jset", "b", "r", []).select("*", parts), ["no", "part"])
-    both = [F.col(f"l{w}").bitwiseAND(F.col(f"r{w}")) for w in words]
-    first = F.coalesce(*(F.when(x != 0, F.bit_count(x.bitwiseAND(-x) - 1) + w * BITS) for w, x in zip(words, both)))
-    count = sum((F.bit_count(x) for x in both[1:]), F.bit_count(both[0])) if both else F.lit(0)
-    met = met.where(F.col("no") == first) if both else met
-    return met.select("pset", "jset", jaccard(count, F.col("a"), F.col("b")).alias("score"))
+    bounded = stored(kth_score_bounds(people_sets, job_sets, k, sample), "bounds")
+    met = candidates(bounded, job_sets)
+    met = met.withColumn("shared", F.array_intersect("items", "required_skills"))
+    found = F.when(F.get("shared", F.lit(0)) == F.col("skill"), F.size("shared"))
+    met = met.select("pset", "jset", "bound", found.alias("c"), F.size("items").alias("a"), F.size("required_skills").alias("b"))
+    scored = met.where("c > 0").select("pset", "jset", jaccard(F.col("c"), F.col("a"), F.col("b")).alias("score"), "bound")
+    return scored.where("score >= bound - 1e-9").drop("bound")
 
 
 def skill_sets(profiles: DataFrame, everyone: DataFrame | None = None) -> DataFrame:
@@ -167,20 +212,22 @@ def skill_sets(profiles: DataFrame, everyone: DataFrame | None = None) -> DataFr
 
 
 def top_matches(
-    profiles: DataFrame, jobs: DataFrame, k: int, spread: int = 8, max_skills: int = 992, everyone: DataFrame | None = None
+    profiles: DataFrame, jobs: DataFrame, k: int, sample: int = 1000, everyone: DataFrame | None = None
 ) -> DataFrame:
     """The k best jobs of every profile: (profile_id, job_id, score, required_skills, missing_skills).
 
     ``profiles``: distinct (profile_id, skill_name). ``jobs``: job_id, required_skills.
-    Ordered by score, then job id. Jobs that share nothing fill the list when better ones run out.
+    Ordered by score, then job id. Jobs that share nothing fill the list when better ones run out. ``sample`` job sets give
+    each profile a first bound; it changes how much is searched, never the result.
     ``everyone`` names the profiles to answer, those without a mapped skill too: every job scores 0 for them.
     """
-    people = skill_sets(profiles, everyone)
-    people_sets = people.groupBy("have").agg(F.min("profile_id").alias("pset"))
-    # A set is named by its first job; at most k jobs stand for it.
-    stand_in = first_per_key(jobs.select("job_id", "required_skills"), ["required_skills"], ["job_id"], k)
-    job_sets = jobs.groupBy("required_skills").agg(F.min("job_id").alias("jset"))
-    scored = _scored_sets(people_sets, job_sets, spread, max_skills)
+    people = stored(skill_sets(profiles, everyone), "people")
+    people_sets = stored(people.groupBy("have").agg(F.min("profile_id").alias("pset")), "people-sets")
+    # A set is named by its first job; at most k jobs stand for it. Jobs and sets feed many steps and are written once.
+    jobs = stored(jobs.select("job_id", "required_skills"), "jobs")
+    stand_in = first_per_key(jobs, ["required_skills"], ["job_id"], k)
+    job_sets = stored(jobs.groupBy("required_skills").agg(F.min("job_id").alias("jset")), "job-sets")
+    scored = best_job_sets(people_sets, job_sets, k, sample)
     best_sets = first_per_key(scored, ["pset"], [F.desc("score"), "jset"], k)
     members = stand_in.join(job_sets, "required_skills").select("jset", "job_id")
     positive = best_sets.join(members, "jset").select("pset", "job_id", "score")
@@ -210,7 +257,7 @@ def salary_suggestion(
 
     A profile's group has at most n rows here, so the built-in percentile is enough. ``everyone`` as in ``top_matches``.
     """
-    priced = jobs.where(F.col(salary) > 0)
+    priced = stored(jobs.where(F.col(salary) > 0).select("job_id", "required_skills", salary), "priced")
     pool = top_matches(profiles, priced, n, everyone=everyone).select("profile_id", "job_id")
     paid = pool.join(priced.select("job_id", salary), "job_id")
     stats = paid.groupBy("profile_id").agg(

@@ -212,6 +212,32 @@ def cluster_silhouette(spark, d):
     return rounded(evaluate.silhouette(_vectors(spark, d), "embedding", "cluster", ["vec_id"]), 6)
 
 
+_POINT = ["coalesce(views, 0)", "coalesce(applies, 0)", "sponsored * 10"]
+_GROUP = "CAST(sponsored + COALESCE(remote_allowed, 0) * 2 + CASE WHEN views > 100 THEN 4 ELSE 0 END AS INTEGER)"
+
+
+@query(
+    "cluster_silhouette_all",
+    "M6",
+    with_(
+        q.P,
+        f"e AS (SELECT job_id, {_GROUP} AS c, {_POINT[0]} AS x, {_POINT[1]} AS y, {_POINT[2]} AS z FROM p)",
+        # Equal points of a cluster count together; the distances are still those of every pair of points.
+        "g AS (SELECT c, x, y, z, count(*) AS n FROM e GROUP BY ALL)",
+        """pairs AS (SELECT a.c, a.x, a.y, a.z, a.n, b.c AS other, sum(b.n * ((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)) AS dist,
+    sum(b.n) AS m FROM g a CROSS JOIN g b GROUP BY a.c, a.x, a.y, a.z, a.n, b.c)""",
+        """ab AS (SELECT n, max(m) FILTER (WHERE other = c) AS own, max(dist / greatest(m - 1, 1)) FILTER (WHERE other = c) AS i,
+    min(dist / m) FILTER (WHERE other <> c) AS o FROM pairs GROUP BY c, x, y, z, n)""",
+        select="""SELECT round(sum(n * CASE WHEN own = 1 OR greatest(i, o) = 0 THEN 0 ELSE (o - i) / greatest(i, o) END) / sum(n), 6) AS silhouette,
+  CAST(sum(n) AS BIGINT) AS n FROM ab""",
+    ),
+)
+def cluster_silhouette_all(spark, d):
+    points = F.array(*(F.expr(x).cast("double") for x in _POINT))
+    rows = s.postings(spark, d).select(F.expr(_GROUP).alias("cluster"), points.alias("features"))
+    return rounded(evaluate.silhouette_all(rows, "features", "cluster"), 6)
+
+
 @query(
     "cluster_inertia",
     "M7",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from vacancia.session import scratch_folder
 from vacancia.sources.schemas import MULTILINE, SCHEMAS
 
 
@@ -97,6 +98,15 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` in a new scratch folder that goes when the application ends."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return materialize(df, path)
+
+
 def first_available(
     spark: SparkSession, paths: Sequence[str], schema: StructType | None = None, multi_line: bool = False
 ) -> DataFrame:
