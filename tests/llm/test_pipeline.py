@@ -58,4 +58,4 @@ def test_no_verbatim_item_is_left(spark, steps):
 
 def test_registered():
     found = __spark_entry__.queries()
-    assert all(any(name.startswith(f"op{n}_") for name in found) for n in range(1, 11)) and "pipeline" in found
+    assert all(any(name.startswith(f"op{n}_") for name in found) for n in range(1, 14)) and "pipeline" in found
