@@ -95,7 +95,7 @@ def schema_listing(spark, d):
 
 # --- audit ----------------------------------------------------------------------
 
-_PROFILED = ["job_id", "company_id", "formatted_experience_level", "med_salary", "views", "applies", "remote_allowed"]
+_PROFILED = [a for _, a in s.POSTING_COLUMNS]
 
 
 def _profile_sql(table: str, cols: list[str]) -> str:
@@ -106,11 +106,19 @@ def _profile_sql(table: str, cols: list[str]) -> str:
     )
 
 
-@query("column_profile", "B1 B2", with_(q.P, select=_profile_sql("p", _PROFILED)))
+@query(
+    "column_profile",
+    "B1 B2",
+    with_(
+        q.P,
+        f"prof AS ({_profile_sql('p', _PROFILED)})",
+        select=f"""SELECT *, CAST({len(_PROFILED)} AS BIGINT) AS n_cols,
+  CAST((SELECT count(*) FROM p) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p)) AS BIGINT) AS full_row_duplicates FROM prof""",
+    ),
+)
 def column_profile(spark, d):
-    df = s.postings(spark, d).select(*_PROFILED)
-    out = audit.column_profile(df, "postings", full_dups=True)
-    return rounded(out.select("column_name", "n_rows", "missing_count", "missing_pct"))
+    out = audit.column_profile(s.postings(spark, d), "postings", full_dups=True)
+    return rounded(out.select("column_name", "n_rows", "n_cols", "missing_count", "missing_pct", "full_row_duplicates"))
 
 
 @query(
@@ -135,6 +143,8 @@ _KEYS = {
     "job_industries": ["job_id", "industry_id"],
     "salaries": ["job_id"],
     "benefits": ["job_id", "type"],
+    "industries": ["industry_id"],
+    "skills": ["skill_abr"],
 }
 _CTE_OF = {"employee_counts": "counts", "postings": "p"}
 
@@ -151,7 +161,7 @@ def _key_sql() -> str:
 @query(
     "key_duplicates",
     "B3",
-    with_(q.P, q.COMPANIES, q.COUNTS, q.JOB_SKILLS, q.JOB_INDUSTRIES, q.SALARIES, q.BENEFITS, select=_key_sql()),
+    with_(*q.TABLE_CTES, select=_key_sql()),
 )
 def key_duplicates(spark, d):
     return rounded(audit.key_dup_report(s.tables(spark, d), _KEYS))
@@ -194,25 +204,26 @@ def referential_integrity_with_nulls(spark, d):
     return rounded(audit.integrity_report(_linked(spark, d), _LINKS, null_is_invalid=True))
 
 
-_SKILL_COLS = ["job_id", "skill_abr"]
-_P_COLS = [a for _, a in s.POSTING_COLUMNS]
+def _gaps_sql(table: str) -> str:
+    cte = _CTE_OF.get(table, table)
+    return (
+        f"SELECT '{table}' AS table_name, (SELECT count(*) FROM {cte}) AS n_rows, filled "
+        f"FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {cte}) ON COLUMNS(*) INTO NAME c VALUE filled)"
+    )
 
 
 @query(
     "missing_by_table",
     "B5",
     with_(
-        q.P,
-        q.JOB_SKILLS,
-        f"prof AS (SELECT 'postings' AS table_name, * FROM ({_profile_sql('p', _P_COLS)}) "
-        f"UNION ALL SELECT 'job_skills', * FROM ({_profile_sql('job_skills', _SKILL_COLS)}))",
-        select="""SELECT table_name, max(n_rows) AS total_rows, round(avg(missing_count / CAST(n_rows AS DOUBLE)), 4)
-  AS avg_missing_pct, count(*) FILTER (WHERE missing_count > 0) AS cols_with_missing FROM prof GROUP BY table_name""",
+        *q.TABLE_CTES,
+        f"prof AS ({' UNION ALL '.join(_gaps_sql(t) for t in _KEYS)})",
+        select="""SELECT table_name, max(n_rows) AS total_rows, round(avg((n_rows - filled) / CAST(n_rows AS DOUBLE)), 4)
+  AS avg_missing_pct, count(*) FILTER (WHERE filled < n_rows) AS cols_with_missing FROM prof GROUP BY table_name""",
     ),
 )
 def missing_by_table(spark, d):
-    both = {"postings": s.postings(spark, d), "job_skills": s.job_skills(spark, d)}
-    return rounded(audit.missing_summary(audit.profile_tables(both)))
+    return rounded(audit.missing_summary(audit.profile_tables(s.tables(spark, d))))
 
 
 # --- filters ----------------------------------------------------------------------

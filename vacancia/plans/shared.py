@@ -12,6 +12,7 @@ JOB_SKILLS = f"job_skills AS ({s.SKILL_SQL})"
 BENEFITS = f"benefits AS ({s.BENEFIT_SQL})"
 JOB_INDUSTRIES = f"job_industries AS ({s.INDUSTRY_SQL})"
 INDUSTRIES = "industries AS (SELECT CAST(n_nationkey AS BIGINT) AS industry_id, n_name AS industry_name FROM nation)"
+SKILLS = "skills AS (SELECT DISTINCT p_brand AS skill_abr, p_brand AS skill_name FROM part)"
 SALARIES = f"salaries AS ({s.SALARY_SQL})"
 
 # Yearly salary of a posting: middle, else halfway between the ends, times periods per year.
@@ -67,3 +68,6 @@ master AS (
     LEFT JOIN newest ON newest.company_id = m0.company_id)"""
 
 MASTER_CTES = [P, PRICED, JOB_SKILLS, BENEFITS, JOB_INDUSTRIES, INDUSTRIES, COUNTS, MASTER]
+
+# Every stand-in table.
+TABLE_CTES = [P, COMPANIES, COUNTS, JOB_SKILLS, JOB_INDUSTRIES, SALARIES, INDUSTRIES, SKILLS, BENEFITS]
