@@ -116,7 +116,9 @@ def quantiles(
 
     # At most len(points) * CELLS + 1 rows per group.
     upto = F.sum("_c").over(W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow))
-    totals = counted.groupBy(*by, "_n", "_cell").agg(F.sum("_c").alias("_c")).withColumn("_before", upto - F.col("_c"))
+    # Both uses of the counts read all of their columns, so that Spark computes them once (a reused exchange).
+    totals = counted.groupBy(*by, "_n", "_cell").agg(F.sum("_c").alias("_c"), F.sum("_own").alias("_o"))
+    totals = totals.withColumn("_before", upto - F.col("_c")).where("_o >= 0")
     wanted = reduce(
         lambda a, b: a | b,
         ((F.col("_before") <= r) & (r < F.col("_before") + F.col("_c")) for p in points for r in ranks(p)),
