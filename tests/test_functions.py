@@ -77,8 +77,15 @@ def test_half_even(spark):
 
 
 def test_accents_of_any_letter(spark):
-    from vacancia.operators.text import strip_accents
+    from vacancia.operators.text import plain_letters, strip_accents
 
-    rows = [("ﬁnance ｅｎｇｉｎｅｅｒ",), ("Çà et là",), ("plain",), (None,), ("é 😀 ｅ",)]
+    rows = [("ﬁnance ｅｎｇｉｎｅｅｒ",), ("Çà et là",), ("plain",), (None,), ("é 😀 ｅ",), ("",)]
     got = [r.t for r in strip_accents(spark.createDataFrame(rows, "t string").coalesce(1), "t").collect()]
-    assert got == ["finance engineer", "Ca et la", "plain", None, "e 😀 e"]
+    assert got == ["finance engineer", "Ca et la", "plain", None, "e 😀 e", ""]
+    # every 7th character, Hangul and ligatures among them, alone and inside a text
+    some = [chr(i) for i in [*range(1, 0xD800, 7), *range(0xF900, 0x1FFFF, 7)]]
+    rows = [(c, f"aé{c}b{c}") for c in some]
+    out = strip_accents(strip_accents(spark.createDataFrame(rows, "c string, t string"), "t"), "c")
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.c, r.t) for r in out.collect()}
+    assert got == {(plain_letters(c), plain_letters(t)) for c, t in rows}

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from vacancia.operators import evaluate, models, prepare
@@ -159,3 +160,37 @@ def test_silhouette_of_all_rows_by_brute_force(spark):
     one = evaluate.silhouette_all(df.where("c = 0"), "f", "c").first()
     assert one.silhouette is None and one.n == 60
     assert evaluate.silhouette_all(df.limit(0), "f", "c").first().n == 0
+
+
+def test_shared_scans_equal_separate_runs(spark):
+    from vacancia.operators import kmeans
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(m, 1.0, size=(80, 2)) for m in (0, 4, 9)])
+    rows = [(i, *map(float, v)) for i, v in enumerate(x)] + [(900, 0.0, 0.0)] * 5
+    df = models.segment_features(spark.createDataFrame(rows, "id bigint, a double, b double").repartition(7), ["a", "b"])
+    together = kmeans.fit_all(df, ["id"], [2, 3, 5], 4)
+    points = np.array([r.features.toArray() for r in df.select("features").collect()])
+    assert len(together) == 12
+    for r in together:
+        alone = [o for o in kmeans.fit_all(df.coalesce(2), ["id"], [r.k], r.start + 1) if o.start == r.start] if r.start == 1 else [r]
+        assert alone[0].cost == pytest.approx(r.cost, rel=1e-9)
+        # plain iterations from the centres found move nothing
+        square = ((points[:, None] - r.centres[None]) ** 2).sum(2)
+        near = square.argmin(1)
+        assert square.min(1).sum() == pytest.approx(r.cost, rel=1e-9)
+        for c in set(near.tolist()):
+            assert np.allclose(points[near == c].mean(0), r.centres[c], atol=1e-3)
+    best = min((r for r in together if r.k == 3), key=lambda r: r.cost)
+    got = {tuple(np.round(r.f, 9)): r.cluster for r in kmeans.nearest(df, best.centres).select("cluster", vector_to_array("features").alias("f")).collect()}
+    assert all(got[tuple(np.round(p, 9))] == ((p - best.centres) ** 2).sum(1).argmin() for p in points)
+
+
+def test_fewer_points_than_clusters_and_no_rows(spark):
+    from vacancia.operators import kmeans
+
+    rows = [(i, float(i % 2)) for i in range(6)]
+    df = models.segment_features(spark.createDataFrame(rows, "id bigint, a double"), ["a"])
+    runs = kmeans.fit_all(df, ["id"], [2, 4], 2)
+    assert all(r.cost == pytest.approx(0.0) for r in runs)
+    assert kmeans.fit_all(df.where("id < 0"), ["id"], [2], 2) == []

@@ -9,8 +9,6 @@ from functools import reduce
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
@@ -22,7 +20,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.operators import evaluate
+from vacancia.operators import evaluate, kmeans
 from vacancia.operators.keys import top_bottom, top_k
 from vacancia.operators.prepare import Features, balanced_weights, impute_median, standardize
 
@@ -199,14 +197,14 @@ def hot_advice(df: DataFrame, cut: float = 0.6, col: str = "hot_job_prob") -> Da
 
 @dataclass
 class Segments:
-    """One fitted K-means per k with its figures, and the best k by silhouette."""
+    """The cheapest run of K-means per k with its figures, and the best k by silhouette."""
 
-    models: dict[int, KMeansModel]
+    models: dict[int, kmeans.Run]
     table: DataFrame
     best_k: int
 
     def assign(self, scaled: DataFrame, name: str = "cluster") -> DataFrame:
-        return self.models[self.best_k].transform(scaled).withColumnRenamed("prediction", name)
+        return kmeans.nearest(scaled, self.models[self.best_k].centres, name)
 
 
 def segment_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -223,30 +221,24 @@ def fit_kmeans(
     ks: Sequence[int] = range(2, 8),
     n_init: int = 10,
     seed: int = 42,
-    sample: int | None = 5_000,
+    sample: int | None = None,
 ) -> Segments:
     """K-means for every k, the cheapest of ``n_init`` starts each, and the k with the best silhouette.
 
-    ``sample`` rows give the Euclidean silhouette; ``sample=None`` takes the squared
-    Euclidean one over all rows.
+    All runs share their scans. The silhouette is the squared Euclidean one of all rows; ``sample`` rows give the
+    Euclidean one instead.
     """
-    data = scaled.select(*keys, "features").persist()
-    try:
-        models, lines = {}, []
-        for k in ks:
-            fits = (KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(data) for i in range(n_init))
-            model = min(fits, key=lambda m: m.summary.trainingCost)
-            cost = model.summary.trainingCost
-            labelled = model.transform(data)
-            if sample is None:
-                sil = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(labelled)
-            else:
-                flat = labelled.select(*keys, "prediction", vector_to_array("features").alias("f"))
-                sil = evaluate.silhouette(flat, "f", "prediction", keys, sample, seed).first()["silhouette"]
-            models[k] = model
-            lines.append((k, float(cost), float(sil)))
-    finally:
-        data.unpersist()
-    best = max(lines, key=lambda x: (x[2], -x[0]))[0]
+    runs = kmeans.fit_all(scaled, keys, ks, n_init, seed)
+    if not runs:
+        raise ValueError("no rows to cluster")
+    models, lines = {}, []
+    for k in ks:
+        best = min((r for r in runs if r.k == k), key=lambda r: (r.cost, r.start))
+        flat = kmeans.nearest(scaled, best.centres).select(*keys, "cluster", vector_to_array("features").alias("f"))
+        found = evaluate.silhouette_all(flat, "f", "cluster") if sample is None else evaluate.silhouette(flat, "f", "cluster", keys, sample, seed)
+        sil = found.first()["silhouette"]
+        models[k] = best
+        lines.append((k, best.cost, float("-inf") if sil is None else float(sil)))
+    best_k = max(lines, key=lambda x: (x[2], -x[0]))[0]
     table = scaled.sparkSession.createDataFrame(lines, "k int, inertia double, silhouette double")
-    return Segments(models, table, best)
+    return Segments(models, table, best_k)

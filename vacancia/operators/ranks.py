@@ -199,8 +199,13 @@ HASH_CELLS = 65_536
 
 
 def key_hash(keys: Sequence[str | Column], seed: int) -> Column:
-    """53 even bits from the key: the same on any partitioning, exact as a double."""
-    return F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed)), 11)
+    """52 even bits from the key: the first 13 hex digits of the MD5 of ``key|...|seed``, a null key as nothing.
+
+    The same on any partitioning and in any engine, and exact as a double.
+    """
+    text = [F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit("")) for k in keys]
+    digest = F.md5(F.concat_ws("|", *text, F.lit(str(seed))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
 def first_by_hash(df: DataFrame, keys: Sequence[str], count: Column, seed: int, by: Sequence[str] = ()) -> DataFrame:
@@ -212,7 +217,7 @@ def first_by_hash(df: DataFrame, keys: Sequence[str], count: Column, seed: int,
     """
     by = list(by)
     hashed = df.withColumn("_h", key_hash(keys, seed)).withColumn(
-        "_cell", F.shiftrightunsigned(F.col("_h"), 37).cast("int")
+        "_cell", F.shiftrightunsigned(F.col("_h"), 36).cast("int")
     )
     cells = hashed.groupBy(*by, "_cell").agg(F.count("*").alias("_c"))
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))

@@ -2,61 +2,85 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Sequence
 from functools import cache
 
-import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from vacancia.operators.keys import top_k
 
 
+# Hangul syllables decompose by their number: 588 per first letter, 28 per vowel, the last letter may be missing.
+_HANGUL = 0xAC00
+_HANGUL_END = _HANGUL + 19 * 588
+_FIRSTS, _VOWELS, _LASTS = ("".join(map(chr, range(a, a + n))) for a, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+
+
+def plain_letters(text: str) -> str:
+    """Compatibility decomposition without combining marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
 @cache
 def _accent_table() -> tuple[str, str, dict[str, str]]:
-    """Letters whose compatibility decomposition drops to plain letters: one-to-one and one-to-many."""
+    """Every character whose plain letters are not itself: one-to-one, and one-to-many (or to nothing). Hangul goes by rule."""
     one_from, one_to, many = [], [], {}
-    for code in range(0xAA, 0x2200):
+    for code in [*range(0xA0, 0xD800), *range(0xE000, sys.maxunicode + 1)]:
         ch = chr(code)
-        plain = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if plain == ch or not ch.isalnum():
+        if _HANGUL <= code < _HANGUL_END:
+            continue
+        plain = plain_letters(ch)
+        if plain == ch:
             continue
         if len(plain) == 1:
             one_from.append(ch)
             one_to.append(plain)
-        elif plain.isalnum() and len(plain) > 1:
+        else:
             many[ch] = plain
     return "".join(one_from), "".join(one_to), many
 
 
-def plain_letters(text: str) -> str:
-    """Compatibility decomposition without combining marks."""
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-
-
-@F.pandas_udf(StringType())
-def _plain(some: pd.Series) -> pd.Series:
-    return some.map(plain_letters, na_action="ignore")
+@cache
+def _char_class(some: str) -> str:
+    """The characters as the inside of a regular expression's class, neighbours as ranges."""
+    codes, runs = sorted(map(ord, some)), []
+    for c in codes:
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in runs)
+
+
+def _spelled(part: Column, table: Column) -> Column:
+    """One character that becomes several, or a stretch of others as it is."""
+    at = F.ascii(part) - F.lit(_HANGUL)
+    first = F.substr(F.lit(_FIRSTS), (at / 588).cast("int") + 1, F.lit(1))
+    vowel = F.substr(F.lit(_VOWELS), (at % 588 / 28).cast("int") + 1, F.lit(1))
+    last = F.when(at % 28 > 0, F.substr(F.lit(_LASTS), (at % 28).cast("int"), F.lit(1))).otherwise(F.lit(""))
+    hangul = F.rlike(part, F.lit(rf"^[\x{{{_HANGUL:x}}}-\x{{{_HANGUL_END - 1:x}}}]"))
+    return F.when(hangul, F.concat(first, vowel, last)).otherwise(F.coalesce(F.element_at(table, part), part))
 
 
 def strip_accents(df: DataFrame, col: str) -> DataFrame:
-    """Drop accents from a text column. Letters that become several are spelled out only where they occur.
+    """Drop accents from a text column: the compatibility decomposition of every character, without combining marks.
 
-    Texts with letters past the tables' range, U+2200 and up, are decomposed in Python; the others are null there.
+    Plain ASCII texts stay as they are. Characters that become several are spelled out only in texts that hold one.
     """
     one_from, one_to, many = _accent_table()
-    spelled = F.col(col)
-    for ch, plain in many.items():
-        spelled = F.replace(spelled, F.lit(ch), F.lit(plain))
-    special = F.rlike(col, F.lit("[" + "".join(many) + "]"))
-    plain = F.translate(F.when(special, spelled).otherwise(F.col(col)), one_from, one_to)
-    beyond = F.rlike(col, F.lit(r"[^\x{0}-\x{21ff}]"))
-    near = F.regexp_replace(plain, r"\p{M}", "")
-    return df.withColumn(col, F.coalesce(_plain(F.when(beyond, F.col(col))), near))
+    special = _char_class("".join(many)) + rf"\x{{{_HANGUL:x}}}-\x{{{_HANGUL_END - 1:x}}}"
+    pairs = "\x01".join(f"{ch}\x02{plain}" for ch, plain in many.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+    parts = F.regexp_extract_all(col, F.lit(rf"([{special}]|[^{special}]+)"), F.lit(1))
+    spelled = F.array_join(F.transform(parts, lambda x: _spelled(x, table)), "")
+    whole = F.when(F.rlike(col, F.lit(f"[{special}]")), spelled).otherwise(F.col(col))
+    bare = F.translate(whole, one_from, one_to)
+    return df.withColumn(col, F.when(F.rlike(col, F.lit(r"[^\x00-\x7f]")), bare).otherwise(F.col(col)))
 
 
 def _joined(fields: Sequence[str]):

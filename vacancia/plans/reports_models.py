@@ -19,12 +19,38 @@ from vacancia.sources.tables import materialize
 # --- preparation --------------------------------------------------------------------------
 
 
-@query("train_test_split", "K1")
+@query(
+    "train_test_split",
+    "K1",
+    with_(
+        q.P,
+        select=f"SELECT job_id, views, CASE WHEN {q.key_hash('job_id', 42)} % 10000 < 2000 THEN 'test' ELSE 'train' END AS part FROM p",
+    ),
+)
 def train_test_split(spark, d):
     train, test = prepare.split(s.postings(spark, d).select("job_id", "views"), ["job_id"], 0.2, 42)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query(
+    "stratified_split",
+    "K2",
+    with_(
+        q.P, q.PRICED,
+        "c AS (SELECT job_id, CASE WHEN normalized_salary > 0 THEN 1 ELSE 0 END AS has_salary FROM priced)",
+        f"""r AS (SELECT *, row_number() OVER (PARTITION BY has_salary ORDER BY {q.key_hash('job_id', 42)}) AS r,
+  count(*) OVER (PARTITION BY has_salary) AS n FROM c)""",
+        select="SELECT job_id, has_salary, CASE WHEN r <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS part FROM r",
+    ),
+)
+def stratified_split(spark, d):
+    from vacancia.plans.master import etl_salary
+
+    df = ft.disclosure(etl_salary(s.postings(spark, d))).select("job_id", "has_salary")
+    train, test = prepare.split(df, ["job_id"], 0.2, 42, stratify="has_salary")
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
 @query(
     "stratified_split_sizes",
     "K2",
@@ -438,7 +464,7 @@ def disclosure_model(spark, d):
 @cache
 def segments(spark, d):
     scaled = models.segment_features(_model_table(spark, d).select("job_id", "has_salary", *SEGMENT_COLS), SEGMENT_COLS)
-    return models.fit_kmeans(scaled, ["job_id"], ks=range(2, 6), n_init=2), scaled
+    return models.fit_kmeans(scaled, ["job_id"]), scaled
 
 
 @query("salary_model_metrics", "L1 L2 L3 L9 M1 K1 K7 K9 C8")

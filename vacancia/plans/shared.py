@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from vacancia.plans import standins as s
 
+def key_hash(col: str, seed: int) -> str:
+    """The key hash of splits and samples."""
+    return f"CAST('0x' || substr(md5(CAST({col} AS VARCHAR) || '|{seed}'), 1, 13) AS BIGINT)"
+
+
 P = f"p AS ({s.posting_sql()})"
 P_STATED = f"p AS ({s.posting_sql(stated=True)})"
 COMPANIES = f"companies AS ({s.COMPANY_SQL})"
