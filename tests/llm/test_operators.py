@@ -149,13 +149,52 @@ def test_brown(spark, docs, rows, empty):
     assert brown.score(docs, brown.train(empty, none), none).where("n_known = 0").count() == len(rows)
 
 
-def test_exchange_raises_likelihood(spark, docs):
-    units = brown.Units({w: i for i, w in enumerate([brown.END, *(x.encode() for x in WORDS)])}, 3)
+def test_exchange_equals_brute_force(spark, docs, rows):
+    """Every proposal is the best class by the likelihood counted anew, and the end state has no better single exchange."""
+    units = brown.Units({w: i for i, w in enumerate([brown.END, *sorted(x.encode() for x in WORDS)[:25]])}, 5)
     pairs = brown.unit_bigrams(docs, units).cache()
+    table = {(r.a, r.b): r.n for r in pairs.collect()}
+
+    def likelihood(classes):
+        counts = np.zeros((5, 5))
+        for (a, b), n in table.items():
+            counts[classes[a], classes[b]] += n
+        return brown.likelihood(counts)
+
+    def best(classes, unit):
+        tried = []
+        for c in range(4):
+            other = classes.copy()
+            other[unit] = c
+            tried.append(likelihood(other))
+        return tried
+
     start = brown.exchange(pairs, units, 4, 0)
-    end = brown.exchange(pairs, units, 4, 4)
-    n = int(start.max()) + 1
-    assert brown.likelihood(brown.class_bigrams(pairs, end, n)) > brown.likelihood(brown.class_bigrams(pairs, start, n))
+    end = brown.exchange(pairs, units, 4, 1000)
+    assert start[0] == end[0] == 4 and max(start[1:]) < 4  # END keeps its class, groups of rare words take part
+    assert likelihood(end) > likelihood(start)
+    for unit in range(1, units.n):
+        assert max(best(end, unit)) <= likelihood(end) + 1e-5
+    both = [(a, b, n, 1) for (a, b), n in table.items()] + [(b, a, n, 0) for (a, b), n in table.items()]
+    lists = [(u, [x[1] for x in both if x[0] == u], [x[2] for x in both if x[0] == u], [x[3] for x in both if x[0] == u]) for u in {x[0] for x in both} - {0}]
+    by_unit = spark.createDataFrame(lists, "unit int, others array<int>, ns array<bigint>, sides array<int>")
+    found = {r.unit: r for r in brown.proposals(by_unit, start, brown.class_bigrams(pairs, start, 5), 4).collect()}
+    assert found
+    for unit, *_ in lists:
+        tried = best(start, unit)
+        gain = max(tried) - likelihood(start)
+        assert (unit in found) == (gain > 1e-6)
+        if unit in found:
+            assert found[unit].gain == pytest.approx(gain, abs=1e-6) and tried[found[unit].to] == pytest.approx(max(tried), abs=1e-6)
+
+
+def test_most_common_words_with_ties(spark):
+    rows = [(w.encode(), c) for w, c in (("a", 5), ("d", 2), ("b", 2), ("c", 2), ("e", 1))]
+    counts = spark.createDataFrame(rows, "word binary, c long")
+    want = [(w.encode(), c) for w, c in (("a", 5), ("b", 2), ("c", 2), ("d", 2), ("e", 1))]
+    for n in range(1, 7):
+        assert brown.most_common(counts, n) == want[:n]
+    assert brown.most_common(counts.where("c > 9"), 3) == []
 
 
 def test_pieces(docs, rows, empty):

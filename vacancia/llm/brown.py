@@ -43,11 +43,11 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass
 class Units:
-    """What the class sequence is made of: the most frequent words by number, all other words by their ending.
+    """What the exchange moves: the most frequent words by number, all other words in groups by their ending.
 
-    Words past the first ``len(frequent)`` have too few counts to be exchanged; a word's last two bytes and its length put it
-    into one of ``rare`` groups, which are units like words. So the exchange works on a bounded number of units
-    while counts, emissions and scores cover every word of the corpus.
+    A word past the first ``len(frequent)`` belongs to one of ``rare`` groups by its last three bytes and its length. A group is
+    a unit like a word: exchange gives it its class, and with it all its words. So the exchange works on a bounded number of
+    units while it places every word of the corpus, and counts, emissions and scores cover each word.
     """
 
     frequent: dict[bytes, int]
@@ -59,7 +59,7 @@ class Units:
 
     def of(self, word: bytes) -> int:
         unit = self.frequent.get(word)
-        return len(self.frequent) + crc32(word[-2:] + bytes([min(len(word), 12) // 4])) % self.rare if unit is None else unit
+        return len(self.frequent) + crc32(word[-3:] + bytes([min(len(word), 12) // 4])) % self.rare if unit is None else unit
 
 
 def unit_bigrams(docs: DataFrame, units: Units, text: str = "text") -> DataFrame:
@@ -121,10 +121,10 @@ def likelihood(pairs: np.ndarray) -> float:
     return float(_entropy(pairs).sum() - _entropy(pairs.sum(0)).sum() - _entropy(pairs.sum(1)).sum())
 
 
-def proposals(by_word: DataFrame, classes: np.ndarray, pairs: np.ndarray, open_classes: int) -> DataFrame:
-    """(unit, to, gain): for each word the one of the first ``open_classes`` it would best be exchanged into, all others held.
+def proposals(by_unit: DataFrame, classes: np.ndarray, pairs: np.ndarray, open_classes: int) -> DataFrame:
+    """(unit, to, gain): for each unit the one of the first ``open_classes`` it would best be exchanged into, all others held.
 
-    ``by_word`` has (unit, others, ns, sides): counts with each neighbour, side 0 before, 1 after. A row is a frequent word's,
+    ``by_unit`` has (unit, others, ns, sides): counts with each neighbour, side 0 before, 1 after. A row is one unit's,
     with at most two entries per unit.
     """
     schema = pa.schema([("unit", pa.int32()), ("to", pa.int32()), ("gain", pa.float64())])
@@ -148,9 +148,11 @@ def proposals(by_word: DataFrame, classes: np.ndarray, pairs: np.ndarray, open_c
                 left[:, own] -= before
                 left[own, :] -= after
                 left[own, own] -= itself
-                # the likelihood gained by putting the word into each class, from a state where it is in none
+                # the likelihood gained by putting the unit into each class, from a state where it is in none; only
+                # classes that neighbour it change anything
                 diagonal = np.diag(left)
-                into = change(left, before[:, None]).sum(0) + change(left, after[None, :]).sum(1)
+                met, meets = np.flatnonzero(before), np.flatnonzero(after)
+                into = change(left[met], before[met, None]).sum(0) + change(left[:, meets], after[None, meets]).sum(1)
                 into += change(diagonal, before + after + itself) - change(diagonal, before) - change(diagonal, after)
                 into -= change(columns - (np.arange(n) == own) * (before.sum() + itself), before.sum() + itself)
                 into -= change(rows - (np.arange(n) == own) * (after.sum() + itself), after.sum() + itself)
@@ -161,7 +163,7 @@ def proposals(by_word: DataFrame, classes: np.ndarray, pairs: np.ndarray, open_c
                     gain.append(into[best] - into[own])
             yield emit(schema, [units, to, gain])
 
-    return by_word.mapInArrow(run, "unit int, to int, gain double")
+    return by_unit.mapInArrow(run, "unit int, to int, gain double")
 
 
 @dataclass
@@ -179,60 +181,68 @@ class Model:
 
 
 def exchange(bigrams: DataFrame, units: Units, n_classes: int, rounds: int) -> np.ndarray:
-    """The class of every unit. Words start dealt out by frequency; END and each rare group keep a class of their own.
+    """The class of every unit. Units start dealt out, words by frequency; only END keeps a class of its own.
 
-    A round proposes for all words against the same state. Proposals are applied by gain, the best half first; if the
-    likelihood, counted anew, has not risen, only the best eighth is. Rounds end early where nothing moves.
+    A round proposes for all units against the same state. Proposals are applied by gain, the best half first; as long as the
+    likelihood, counted anew, has not risen, a quarter of them, down to the best one alone, which cannot fail. So
+    rounds end at a state that no single exchange improves, or at ``rounds``.
     """
-    f = len(units.frequent)
-    n = n_classes + units.rare + 1
+    f, n = len(units.frequent), n_classes + 1
     end = units.frequent[END]
-    classes = np.concatenate([np.arange(f) % n_classes, n_classes + np.arange(units.rare)])
+    classes = np.concatenate([np.arange(f) % n_classes, np.arange(units.rare) % n_classes])
     classes[end] = n - 1
     both = bigrams.select(F.col("a").alias("unit"), F.col("b").alias("other"), "n", F.lit(1).alias("side")).union(
         bigrams.select(F.col("b"), F.col("a"), "n", F.lit(0))
     )
-    movable = both.where((F.col("unit") < f) & (F.col("unit") != end))
-    lists = movable.groupBy("unit").agg(F.collect_list(F.struct("other", "n", "side")).alias("x"))
-    by_word = stored(lists.select("unit", F.col("x.other").alias("others"), F.col("x.n").alias("ns"), F.col("x.side").alias("sides")), "by_word")
+    lists = both.where(F.col("unit") != end).groupBy("unit").agg(F.collect_list(F.struct("other", "n", "side")).alias("x"))
+    by_unit = stored(lists.select("unit", F.col("x.other").alias("others"), F.col("x.n").alias("ns"), F.col("x.side").alias("sides")), "by_unit")
     pairs = class_bigrams(bigrams, classes, n)
     for _ in range(rounds):
-        wanted = sorted((-r.gain, r.unit, r.to) for r in proposals(by_word, classes, pairs, n_classes).collect())
-        for part in (2, 8):
+        wanted = sorted((-r.gain, r.unit, r.to) for r in proposals(by_unit, classes, pairs, n_classes).collect())
+        taken = -(-len(wanted) // 2)
+        while taken:
             tried = classes.copy()
-            for _, unit, to in wanted[: -(-len(wanted) // part)]:
+            for _, unit, to in wanted[:taken]:
                 tried[unit] = to
             after = class_bigrams(bigrams, tried, n)
             if likelihood(after) > likelihood(pairs):
                 classes, pairs = tried, after
                 break
+            taken = -(-taken // 4) if taken > 1 else 0
         else:
             break
     return classes
 
 
+def most_common(own: DataFrame, n: int) -> list[tuple[bytes, int]]:
+    """The n most frequent words with their counts, ties by word."""
+    # the count from which on words are taken whole: found on (count, words that have it), not on the words
+    least, left = None, n
+    for r in own.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(n).toLocalIterator():
+        if r.n > left:
+            tied = own.where(F.col("c") == r.c).orderBy("word").limit(left).collect() if left else []
+            break
+        least, left = r.c, left - r.n
+    else:
+        tied = []
+    top = own.where(F.col("c") >= least).collect() if least else []
+    return sorted(((bytes(r.word), r.c) for r in [*top, *tied]), key=lambda x: (-x[1], x[0]))
+
+
 def train(
-    learn: DataFrame, counts: DataFrame, text: str = "text", clustered: int = 4000, common: int = 100_000, n_classes: int = 64, rare: int = 64, rounds: int = 6
+    learn: DataFrame, counts: DataFrame, text: str = "text", clustered: int = 4000, common: int = 100_000, n_classes: int = 128, rare: int = 2048, rounds: int = 20
 ) -> Model:
-    """From texts ``learn`` and their ``word_counts``. ``clustered`` words are exchanged between ``n_classes`` classes, the
-    ``common`` most frequent words' counts (those tied at the end left out) go to the tasks; both bound what the driver holds, none what is counted."""
-    own = counts.where(F.col("word") != END)
-    # the count from which on words are common: found on (count, words that have it), not on the words
-    least, left = None, common
-    for r in own.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(common).toLocalIterator():
-        left -= r.n
-        if left < 0:
-            break
-        least = r.c
-    top = sorted(own.where(F.col("c") >= least).collect(), key=lambda r: (-r.c, bytes(r.word))) if least else []
+    """From texts ``learn`` and their ``word_counts``. ``clustered`` words and ``rare`` groups of the others are exchanged between
+    ``n_classes`` classes, the ``common`` most frequent words' counts (ties by word) go to the tasks; all bound what the driver
+    holds, none what is counted or clustered."""
     size = counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("types")).first()
     end = counts.where(F.col("word") == END).collect()
-    known = {bytes(r.word): r.c for r in [*end, *top]}
+    known = {bytes(r.word): r.c for r in end} | dict(most_common(counts.where(F.col("word") != END), common))
     known.setdefault(END, 0)
     units = Units({w: i for i, w in enumerate(list(known)[: clustered + 1])}, rare)
     bigrams = stored(unit_bigrams(learn, units, text), "bigrams")
     classes = exchange(bigrams, units, n_classes, rounds)
-    n = n_classes + rare + 1
+    n = n_classes + 1
     pairs = class_bigrams(bigrams, classes, n).astype(np.float64)
     # absolute counts plus a share of the class's own frequency: smoothed transitions
     usual = (pairs.sum(0) + 1) / (pairs.sum() + n)
