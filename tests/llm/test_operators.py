@@ -178,7 +178,7 @@ def test_exchange_equals_brute_force(spark, docs, rows):
     both = [(a, b, n, 1) for (a, b), n in table.items()] + [(b, a, n, 0) for (a, b), n in table.items()]
     lists = [(u, [x[1] for x in both if x[0] == u], [x[2] for x in both if x[0] == u], [x[3] for x in both if x[0] == u]) for u in {x[0] for x in both} - {0}]
     by_unit = spark.createDataFrame(lists, "unit int, others array<int>, ns array<bigint>, sides array<int>")
-    found = {r.unit: r for r in brown.proposals(by_unit, start, brown.class_bigrams(pairs, start, 5), 4).collect()}
+    found = {r.unit: r for r in brown.proposals(by_unit, start, brown.class_bigrams(pairs, [start], 5)[0], 4).collect()}
     assert found
     for unit, *_ in lists:
         tried = best(start, unit)

@@ -95,21 +95,24 @@ def unit_bigrams(docs: DataFrame, units: Units, text: str = "text") -> DataFrame
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def class_bigrams(bigrams: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
-    """Counts of class after class: n_classes squared numbers, whatever the corpus."""
+def class_bigrams(bigrams: DataFrame, tried: list[np.ndarray], n_classes: int) -> list[np.ndarray]:
+    """Counts of class after class under each of some assignments, in one scan: n_classes squared numbers each, whatever the corpus."""
     schema = pa.schema([("k", pa.int32()), ("n", pa.int64())])
+    square = n_classes * n_classes
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_classes * n_classes, dtype=np.int64)
+        total = np.zeros(len(tried) * square, dtype=np.int64)
         for b in batches:
-            np.add.at(total, classes[b.column(0).to_numpy()] * n_classes + classes[b.column(1).to_numpy()], b.column(2).to_numpy())
+            left, right, n = (b.column(i).to_numpy() for i in range(3))
+            for i, classes in enumerate(tried):
+                np.add.at(total, i * square + classes[left] * n_classes + classes[right], n)
         some = np.flatnonzero(total)
         yield emit(schema, [some, total[some]])
 
-    out = np.zeros(n_classes * n_classes, dtype=np.int64)
+    out = np.zeros(len(tried) * square, dtype=np.int64)
     for r in bigrams.mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         out[r.k] = r.n
-    return out.reshape(n_classes, n_classes)
+    return list(out.reshape(len(tried), n_classes, n_classes))
 
 
 def _entropy(x: np.ndarray) -> np.ndarray:
@@ -183,9 +186,9 @@ class Model:
 def exchange(bigrams: DataFrame, units: Units, n_classes: int, rounds: int) -> np.ndarray:
     """The class of every unit. Units start dealt out, words by frequency; only END keeps a class of its own.
 
-    A round proposes for all units against the same state. Proposals are applied by gain, the best half first; as long as the
-    likelihood, counted anew, has not risen, a quarter of them, down to the best one alone, which cannot fail. So
-    rounds end at a state that no single exchange improves, or at ``rounds``.
+    A round proposes for all units against the same state and counts the likelihood anew with the best half of the proposals, with a
+    quarter of those and so on down to the best one alone, all in one scan; the likeliest state is the next. The best
+    one alone cannot fail, so rounds end at a state that no single exchange improves, or at ``rounds``.
     """
     f, n = len(units.frequent), n_classes + 1
     end = units.frequent[END]
@@ -196,21 +199,25 @@ def exchange(bigrams: DataFrame, units: Units, n_classes: int, rounds: int) -> n
     )
     lists = both.where(F.col("unit") != end).groupBy("unit").agg(F.collect_list(F.struct("other", "n", "side")).alias("x"))
     by_unit = stored(lists.select("unit", F.col("x.other").alias("others"), F.col("x.n").alias("ns"), F.col("x.side").alias("sides")), "by_unit")
-    pairs = class_bigrams(bigrams, classes, n)
+    pairs = class_bigrams(bigrams, [classes], n)[0]
     for _ in range(rounds):
         wanted = sorted((-r.gain, r.unit, r.to) for r in proposals(by_unit, classes, pairs, n_classes).collect())
-        taken = -(-len(wanted) // 2)
-        while taken:
-            tried = classes.copy()
+        if not wanted:
+            break
+        tried, taken = [], -(-len(wanted) // 2)
+        while True:
+            state = classes.copy()
             for _, unit, to in wanted[:taken]:
-                tried[unit] = to
-            after = class_bigrams(bigrams, tried, n)
-            if likelihood(after) > likelihood(pairs):
-                classes, pairs = tried, after
+                state[unit] = to
+            tried.append(state)
+            if taken == 1:
                 break
-            taken = -(-taken // 4) if taken > 1 else 0
-        else:
+            taken = -(-taken // 4)
+        after = class_bigrams(bigrams, tried, n)
+        best = max(range(len(tried)), key=lambda i: likelihood(after[i]))
+        if likelihood(after[best]) <= likelihood(pairs):
             break
+        classes, pairs = tried[best], after[best]
     return classes
 
 
@@ -243,7 +250,7 @@ def train(
     bigrams = stored(unit_bigrams(learn, units, text), "bigrams")
     classes = exchange(bigrams, units, n_classes, rounds)
     n = n_classes + 1
-    pairs = class_bigrams(bigrams, classes, n).astype(np.float64)
+    pairs = class_bigrams(bigrams, [classes], n)[0].astype(np.float64)
     # absolute counts plus a share of the class's own frequency: smoothed transitions
     usual = (pairs.sum(0) + 1) / (pairs.sum() + n)
     logp = np.log10((pairs + 8 * usual[None, :]) / (pairs.sum(1, keepdims=True) + 8))
