@@ -169,18 +169,16 @@ def test_exchange_equals_brute_force(spark, docs, rows):
             tried.append(likelihood(other))
         return tried
 
-    start = brown.exchange(pairs, units, 4, 0)
-    end = brown.exchange(pairs, units, 4, 1000)
+    by_unit = brown.neighbours(pairs).cache()
+    start = brown.exchange(by_unit, units, 4, 0)
+    end = brown.exchange(by_unit, units, 4, 1000)
     assert start[0] == end[0] == 4 and max(start[1:]) < 4  # END keeps its class, groups of rare words take part
     assert likelihood(end) > likelihood(start)
     for unit in range(1, units.n):
         assert max(best(end, unit)) <= likelihood(end) + 1e-5
-    both = [(a, b, n, 1) for (a, b), n in table.items()] + [(b, a, n, 0) for (a, b), n in table.items()]
-    lists = [(u, [x[1] for x in both if x[0] == u], [x[2] for x in both if x[0] == u], [x[3] for x in both if x[0] == u]) for u in {x[0] for x in both} - {0}]
-    by_unit = spark.createDataFrame(lists, "unit int, others array<int>, ns array<bigint>, sides array<int>")
-    found = {r.unit: r for r in brown.proposals(by_unit, start, brown.class_bigrams(pairs, [start], 5)[0], 4).collect()}
+    found = {r.unit: r for r in brown.proposals(by_unit, start, brown.class_bigrams(by_unit, [start], 5)[0], 4).collect()}
     assert found
-    for unit, *_ in lists:
+    for unit in {u for pair in table for u in pair} - {0}:
         tried = best(start, unit)
         gain = max(tried) - likelihood(start)
         assert (unit in found) == (gain > 1e-6)

@@ -95,28 +95,58 @@ def unit_bigrams(docs: DataFrame, units: Units, text: str = "text") -> DataFrame
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def class_bigrams(bigrams: DataFrame, tried: list[np.ndarray], n_classes: int) -> list[np.ndarray]:
+def neighbours(bigrams: DataFrame) -> DataFrame:
+    """(unit, before, n_before, after, n_after): a unit's neighbours on each side as packed int32 numbers, their counts as int64.
+
+    A row has at most two entries per unit, so its size is bounded whatever the corpus. Packed, a scan hands whole arrays to
+    the tasks' numpy and converts no single entry.
+    """
+    schema = pa.schema([("unit", pa.int32()), *((c, pa.binary()) for c in ("before", "n_before", "after", "n_after"))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in range(4)]
+            for other, n, side in zip(b.column(1), b.column(2), b.column(3), strict=True):
+                other, n, side = (np.asarray(x.values) for x in (other, n, side))
+                for i in (0, 1):
+                    out[2 * i].append(other[side == i].astype(np.int32).tobytes())
+                    out[2 * i + 1].append(n[side == i].astype(np.int64).tobytes())
+            yield emit(schema, [b.column(0), *out])
+
+    both = bigrams.select(F.col("a").alias("unit"), F.col("b").alias("other"), "n", F.lit(1).alias("side")).union(
+        bigrams.select(F.col("b"), F.col("a"), "n", F.lit(0))
+    )
+    lists = both.groupBy("unit").agg(F.collect_list(F.struct("other", "n", "side")).alias("x"))
+    return lists.select("unit", "x.other", "x.n", "x.side").mapInArrow(run, "unit int, before binary, n_before binary, after binary, n_after binary")
+
+
+def class_bigrams(by_unit: DataFrame, tried: list[np.ndarray], n_classes: int) -> list[np.ndarray]:
     """Counts of class after class under each of some assignments, in one scan: n_classes squared numbers each, whatever the corpus."""
     schema = pa.schema([("k", pa.int32()), ("n", pa.int64())])
-    square = n_classes * n_classes
+    states = np.array(tried)
+    each, rows = len(states) * n_classes, np.arange(len(states))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(tried) * square, dtype=np.int64)
+        total = np.zeros((len(states), n_classes, n_classes), dtype=np.int64)
         for b in batches:
-            left, right, n = (b.column(i).to_numpy() for i in range(3))
-            for i, classes in enumerate(tried):
-                np.add.at(total, i * square + classes[left] * n_classes + classes[right], n)
+            for unit, after, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                after, n = np.frombuffer(after.as_buffer(), np.int32), np.frombuffer(n.as_buffer(), np.int64)
+                cells = states[:, after] + rows[:, None] * n_classes
+                # sums of whole numbers below 2 ** 53 are exact
+                found = np.bincount(cells.ravel(), np.tile(n, len(states)), each).reshape(-1, n_classes)
+                total[rows, states[:, unit]] += found.astype(np.int64)
         some = np.flatnonzero(total)
-        yield emit(schema, [some, total[some]])
+        yield emit(schema, [some, total.ravel()[some]])
 
-    out = np.zeros(len(tried) * square, dtype=np.int64)
-    for r in bigrams.mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
-        out[r.k] = r.n
-    return list(out.reshape(len(tried), n_classes, n_classes))
+    out = np.zeros(len(states) * n_classes * n_classes, dtype=np.int64)
+    counts = by_unit.select("unit", "after", "n_after").mapInArrow(run, "k int, n long")
+    found = counts.groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    out[found.column("k").to_numpy()] = found.column("n").to_numpy()
+    return list(out.reshape(len(states), n_classes, n_classes))
 
 
 def _entropy(x: np.ndarray) -> np.ndarray:
-    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+    return x * np.log(np.maximum(x, 1))
 
 
 def likelihood(pairs: np.ndarray) -> float:
@@ -127,12 +157,12 @@ def likelihood(pairs: np.ndarray) -> float:
 def proposals(by_unit: DataFrame, classes: np.ndarray, pairs: np.ndarray, open_classes: int) -> DataFrame:
     """(unit, to, gain): for each unit the one of the first ``open_classes`` it would best be exchanged into, all others held.
 
-    ``by_unit`` has (unit, others, ns, sides): counts with each neighbour, side 0 before, 1 after. A row is one unit's,
-    with at most two entries per unit.
+    ``by_unit`` is from ``neighbours``. A unit of another class (END) stays where it is.
     """
     schema = pa.schema([("unit", pa.int32()), ("to", pa.int32()), ("gain", pa.float64())])
     n = len(pairs)
     rows, columns = pairs.sum(1), pairs.sum(0)
+    whole, numbers = _entropy(pairs), np.arange(n)
 
     def change(old: np.ndarray, add: np.ndarray) -> np.ndarray:
         return _entropy(old + add) - _entropy(old)
@@ -140,25 +170,31 @@ def proposals(by_unit: DataFrame, classes: np.ndarray, pairs: np.ndarray, open_c
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             units, to, gain = [], [], []
-            for unit, others, ns, sides in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3), strict=True):
-                others, ns, sides = (np.asarray(x.values) for x in (others, ns, sides))
-                itself = int(ns[(others == unit) & (sides == 1)].sum())
-                apart = others != unit
-                before = np.bincount(classes[others[apart & (sides == 0)]], ns[apart & (sides == 0)], n)
-                after = np.bincount(classes[others[apart & (sides == 1)]], ns[apart & (sides == 1)], n)
+            for unit, *sides in zip(b.column(0).to_pylist(), *b.columns[1:], strict=True):
                 own = classes[unit]
-                left = pairs.astype(np.float64)
+                if own >= open_classes:
+                    continue
+                (left_of, n_left), (right_of, n_right) = (
+                    (np.frombuffer(ids.as_buffer(), np.int32), np.frombuffer(ns.as_buffer(), np.int64)) for ids, ns in (sides[:2], sides[2:])
+                )
+                itself = int(n_right[right_of == unit].sum())
+                before, after = np.bincount(classes[left_of], n_left, n), np.bincount(classes[right_of], n_right, n)
+                before[own] -= itself
+                after[own] -= itself
+                left, known = pairs.astype(np.float64), whole.copy()
                 left[:, own] -= before
                 left[own, :] -= after
                 left[own, own] -= itself
+                known[:, own], known[own, :] = _entropy(left[:, own]), _entropy(left[own, :])
                 # the likelihood gained by putting the unit into each class, from a state where it is in none; only
                 # classes that neighbour it change anything
                 diagonal = np.diag(left)
                 met, meets = np.flatnonzero(before), np.flatnonzero(after)
-                into = change(left[met], before[met, None]).sum(0) + change(left[:, meets], after[None, meets]).sum(1)
+                into = (_entropy(left[met] + before[met, None]) - known[met]).sum(0)
+                into += (_entropy(left[:, meets] + after[meets]) - known[:, meets]).sum(1)
                 into += change(diagonal, before + after + itself) - change(diagonal, before) - change(diagonal, after)
-                into -= change(columns - (np.arange(n) == own) * (before.sum() + itself), before.sum() + itself)
-                into -= change(rows - (np.arange(n) == own) * (after.sum() + itself), after.sum() + itself)
+                into -= change(columns - (numbers == own) * (before.sum() + itself), before.sum() + itself)
+                into -= change(rows - (numbers == own) * (after.sum() + itself), after.sum() + itself)
                 best = int(into[:open_classes].argmax())
                 if best != own and into[best] > into[own] + 1e-6:
                     units.append(unit)
@@ -183,8 +219,8 @@ class Model:
     types: int
 
 
-def exchange(bigrams: DataFrame, units: Units, n_classes: int, rounds: int) -> np.ndarray:
-    """The class of every unit. Units start dealt out, words by frequency; only END keeps a class of its own.
+def exchange(by_unit: DataFrame, units: Units, n_classes: int, rounds: int) -> np.ndarray:
+    """The class of every unit, from their ``neighbours``. Units start dealt out, words by frequency; only END keeps a class of its own.
 
     A round proposes for all units against the same state and counts the likelihood anew with the best half of the proposals, with a
     quarter of those and so on down to the best one alone, all in one scan; the likeliest state is the next. The best
@@ -194,12 +230,7 @@ def exchange(bigrams: DataFrame, units: Units, n_classes: int, rounds: int) -> n
     end = units.frequent[END]
     classes = np.concatenate([np.arange(f) % n_classes, np.arange(units.rare) % n_classes])
     classes[end] = n - 1
-    both = bigrams.select(F.col("a").alias("unit"), F.col("b").alias("other"), "n", F.lit(1).alias("side")).union(
-        bigrams.select(F.col("b"), F.col("a"), "n", F.lit(0))
-    )
-    lists = both.where(F.col("unit") != end).groupBy("unit").agg(F.collect_list(F.struct("other", "n", "side")).alias("x"))
-    by_unit = stored(lists.select("unit", F.col("x.other").alias("others"), F.col("x.n").alias("ns"), F.col("x.side").alias("sides")), "by_unit")
-    pairs = class_bigrams(bigrams, [classes], n)[0]
+    pairs = class_bigrams(by_unit, [classes], n)[0]
     for _ in range(rounds):
         wanted = sorted((-r.gain, r.unit, r.to) for r in proposals(by_unit, classes, pairs, n_classes).collect())
         if not wanted:
@@ -213,7 +244,7 @@ def exchange(bigrams: DataFrame, units: Units, n_classes: int, rounds: int) -> n
             if taken == 1:
                 break
             taken = -(-taken // 4)
-        after = class_bigrams(bigrams, tried, n)
+        after = class_bigrams(by_unit, tried, n)
         best = max(range(len(tried)), key=lambda i: likelihood(after[i]))
         if likelihood(after[best]) <= likelihood(pairs):
             break
@@ -247,10 +278,10 @@ def train(
     known = {bytes(r.word): r.c for r in end} | dict(most_common(counts.where(F.col("word") != END), common))
     known.setdefault(END, 0)
     units = Units({w: i for i, w in enumerate(list(known)[: clustered + 1])}, rare)
-    bigrams = stored(unit_bigrams(learn, units, text), "bigrams")
-    classes = exchange(bigrams, units, n_classes, rounds)
+    by_unit = stored(neighbours(stored(unit_bigrams(learn, units, text), "bigrams")), "by_unit")
+    classes = exchange(by_unit, units, n_classes, rounds)
     n = n_classes + 1
-    pairs = class_bigrams(bigrams, [classes], n)[0].astype(np.float64)
+    pairs = class_bigrams(by_unit, [classes], n)[0].astype(np.float64)
     # absolute counts plus a share of the class's own frequency: smoothed transitions
     usual = (pairs.sum(0) + 1) / (pairs.sum() + n)
     logp = np.log10((pairs + 8 * usual[None, :]) / (pairs.sum(1, keepdims=True) + 8))
