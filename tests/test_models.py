@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from vacancia.operators import evaluate, models, prepare
@@ -194,3 +195,34 @@ def test_fewer_points_than_clusters_and_no_rows(spark):
     runs = kmeans.fit_all(df, ["id"], [2, 4], 2)
     assert all(r.cost == pytest.approx(0.0) for r in runs)
     assert kmeans.fit_all(df.where("id < 0"), ["id"], [2], 2) == []
+
+
+def test_text_vectors_are_sparse_tfidf(spark, jobs):
+    f = prepare.fit_features(jobs, prepare.text_spec(**SPEC))
+    words = with_tokens(jobs.select("job_id", "title"), "title", "_t", True, (1, 2))
+    odd = spark.createDataFrame([(-1, ["data", "data", "unheard"]), (-2, [])], "job_id bigint, _t array<string>")
+    for sublinear in (True, False):
+        f.spec.sublinear = sublinear
+        got = prepare._text_vector(words.select("job_id", "_t").union(odd), f)
+        rows = {r.job_id: (r._text, list(r._t)) for r in got.join(words.select("job_id", "_t").union(odd), "job_id").collect()}
+        for vector, tokens in rows.values():
+            n = np.array([tokens.count(t) for t in f.terms], float)
+            want = np.where(n > 0, np.log(np.maximum(n, 1)) + 1 if sublinear else n, 0) * f.idf
+            assert len(vector.indices) == (n > 0).sum()  # no entry for a term that is not there
+            assert np.allclose(vector.toArray(), want / (np.linalg.norm(want) or 1))
+
+
+def test_ridge_with_more_features_than_the_normal_equations_take(spark):
+    """Over 4,096 features the fit iterates; it meets the closed form (worked out on the rows, of which there are few)."""
+    rng = np.random.default_rng(3)
+    n, d = 60, 4200
+    at = rng.integers(0, d, (n, 5))
+    rows = [(Vectors.sparse(d, {int(j): 1.0 for j in a}), float(40000 + 900 * i)) for i, a in enumerate(at)]
+    table = spark.createDataFrame(rows, ["features", "pay"]).cache()
+    fit = models.fit_ridge(table, "pay", None, alpha=2.0)
+    x = np.array([v.toArray() for v, _ in rows])
+    y = np.log1p([p for _, p in rows])
+    xc = x - x.mean(0)
+    beta = xc.T @ np.linalg.solve(xc @ xc.T + 2.0 * np.eye(n), y - y.mean())
+    assert fit.model.coefficients.size == d
+    assert np.allclose(fit.model.coefficients.toArray(), beta, atol=1e-4)

@@ -1,11 +1,16 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from vacancia.operators import audit, keys, star, stats
+from vacancia.plans import master, standins
 from vacancia.plans.master import build_master, clean_salaries
 from vacancia.sources import tables as src
 from vacancia.sources.schemas import SCHEMAS
 
+FOLDER = os.environ.get("VACANCIA_SF_DIR", "/root/testdata/sf0.001")
+
 
 def test_csv_with_breaks_quotes_and_float_ids(spark, tmp_path):
     (tmp_path / "postings.csv").write_text(
@@ -138,3 +143,32 @@ def test_master_keeps_one_row_per_job_in_both_variants(spark):
 def test_clean_salaries_keeps_rows_without_known_period(spark):
     got = {r["job_id"]: r["normalized_salary"] for r in clean_salaries(_tables(spark)["salaries"], clip=False).collect()}
     assert got == {1: 83200.0, 3: None}
+
+
+def test_build_report_shows_what_the_steps_do(spark, monkeypatch):
+    """Counts are those of the build itself: a side left with two rows of a job shows in its join, and the last step mends it."""
+    d = FOLDER
+    tables = standins.tables(spark, d)
+    posts = tables["postings"]
+    n = posts.count()
+    tables["postings"] = posts.union(posts.limit(7))  # repeated rows
+    got = {r.step: r for r in master.build_report(tables).collect()}
+    assert list(got) == [step for step, *_ in master.BUILD_STEPS] and len(got) == 15
+    assert (got["drop_dup_job_id"].rows_in, got["drop_dup_job_id"].rows_out) == (n + 7, n)
+    assert all((r.rows_in, r.rows_out) == (n, n) for step, r in got.items() if step.startswith(("join", "postings", "dedup")))
+    assert got["benefits_agg"].rows_in == tables["benefits"].count() > got["benefits_agg"].rows_out
+    twice = master.benefit_counts
+    monkeypatch.setattr(master, "benefit_counts", lambda b, distinct: twice(b, distinct).union(twice(b, distinct)))
+    grown = {r.step: r for r in master.build_report(tables).collect()}
+    jobs = got["benefits_agg"].rows_out
+    assert grown["join_benefits"].rows_out == grown["join_skills"].rows_in == n + jobs
+    assert (grown["dedup_final"].rows_in, grown["dedup_final"].rows_out) == (n + jobs, n)
+
+
+def test_build_report_of_empty_tables(spark):
+    tables = {name: df.limit(0) for name, df in standins.tables(spark, FOLDER).items()}
+    got = master.build_report(tables).collect()
+    assert len(got) == 15 and all((r.rows_in, r.rows_out) == (0, 0) for r in got)
+    some = {**standins.tables(spark, FOLDER), "benefits": tables["benefits"]}
+    got = {r.step: r for r in master.build_report(some).collect()}
+    assert got["benefits_agg"].rows_in == 0 and got["join_benefits"].rows_out == some["postings"].count()

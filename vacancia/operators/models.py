@@ -62,17 +62,24 @@ def _ready(train: DataFrame, features: Features) -> DataFrame:
     return train if "features" in train.columns else features.transform(train)
 
 
+NORMAL_FEATURES = 4096  # Spark solves the normal equations up to here
+
+
 def fit_ridge(train: DataFrame, target: str, features: Features, alpha: float = 10.0, log_target: bool = True):
     """Least squares plus alpha times the squared coefficients, on log1p of the target.
 
-    Spark scales the label before it penalizes, so alpha is scaled by the label's deviation.
+    Spark scales the label before it penalizes, so alpha is scaled by the label's deviation: the population's for the
+    normal equations (one pass, up to 4,096 features), the sample's for the iterative fit that wider vectors take.
     """
     label = F.log1p(target) if log_target else F.col(target)
     ready = _ready(train, features).select("features", label.alias("_y"))
-    n, std = ready.agg(F.count("*"), F.stddev_pop("_y")).first()
+    row = ready.select("features").first()
+    wide = row is not None and row["features"].size > NORMAL_FEATURES
+    n, std = ready.agg(F.count("*"), F.stddev_samp("_y") if wide else F.stddev_pop("_y")).first()
     fit = LinearRegression(
-        labelCol="_y", regParam=alpha * (std or 0.0) / n, elasticNetParam=0.0, standardization=False, solver="normal"
-    )
+        labelCol="_y", regParam=alpha * (std or 0.0) / n, elasticNetParam=0.0, standardization=False,
+        solver="l-bfgs" if wide else "normal", maxIter=1000, tol=1e-10,
+    )
     return Scorer(features, fit.fit(ready), "regression", log_target)
 
 

@@ -7,10 +7,19 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import (
+    CountVectorizerModel,
+    ElementwiseProduct,
+    Normalizer,
+    OneHotEncoder,
+    StringIndexer,
+    VectorAssembler,
+)
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from vacancia.functions import as_category
 from vacancia.operators.ranks import first_by_hash, key_hash, quantiles
@@ -197,21 +206,23 @@ def _prepared(df: DataFrame, spec: FeatureSpec, median, mean, std) -> DataFrame:
     return with_tokens(df, spec.text, "_t", spec.accents, spec.ngrams, spec.stop_words) if spec.text else df
 
 
+def _damped(vector: str) -> Column:
+    """1 + ln(x) of the entries of a sparse vector, which stays sparse.
+
+    SQL has no constructor of sparse vectors; the JSON reader makes one from the four fields it is stored as.
+    """
+    parts = F.unwrap_udt(vector)
+    damped = parts.withField("values", F.transform(parts["values"], lambda x: F.log(x) + 1))
+    return F.from_json(F.to_json(F.struct(damped.alias("v"))), StructType([StructField("v", VectorUDT())]))["v"]
+
+
 def _text_vector(df: DataFrame, f: Features) -> DataFrame:
-    counted = CountVectorizerModel.from_vocabulary(
-        f.terms, inputCol="_t", outputCol="_tf"
-    ).transform(df)
-    idf = F.array(*map(F.lit, f.idf))
-    tf = vector_to_array("_tf")
+    """Adds ``_text``: sparse and of unit length, with one entry per term that the row has."""
+    out = CountVectorizerModel.from_vocabulary(f.terms, inputCol="_t", outputCol="_tf").transform(df)
     if f.spec.sublinear:
-        weigh = lambda x, i: F.when(x > 0, (F.log(x) + 1) * F.get(idf, i)).otherwise(F.lit(0.0))
-    else:
-        weigh = lambda x, i: x * F.get(idf, i)
-    counted = counted.withColumn("_w", F.transform(tf, weigh))
-    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, x: acc + x * x))
-    counted = counted.withColumn("_norm", norm)
-    unit = F.when(F.col("_norm") > 0, F.transform("_w", lambda x: x / F.col("_norm"))).otherwise(F.col("_w"))
-    return counted.withColumn("_text", array_to_vector(unit)).drop("_t", "_tf", "_w", "_norm")
+        out = out.withColumn("_tf", _damped("_tf"))
+    weigh = ElementwiseProduct(scalingVec=Vectors.dense(f.idf), inputCol="_tf", outputCol="_w")
+    return Normalizer(inputCol="_w", outputCol="_text").transform(weigh.transform(out)).drop("_t", "_tf", "_w")
 
 
 def _assemble(df: DataFrame, f: Features) -> DataFrame:

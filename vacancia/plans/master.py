@@ -8,7 +8,7 @@ only possibly hot key joins once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +24,12 @@ from vacancia.functions import (
     to_number,
 )
 from vacancia.operators import features as ft
+from vacancia.operators.audit import StepCounts
 from vacancia.operators.children import child_count, child_list, primary_child
 from vacancia.operators.keys import best_per_key, dedup_first, enrich, latest_per_key
 
 Tables = Mapping[str, DataFrame]
+Mark = Callable[[str, DataFrame], DataFrame]
 
 # The text columns that are title-cased.
 POSTING_TEXT = [
@@ -49,10 +51,16 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumns({"listed_date": listed_date("listed_time"), "listed_month": listed_month("listed_time")})
 
 
-def clean_postings(postings: DataFrame, variant: str = "clean", order: Sequence[str | Column] = ()) -> DataFrame:
+def _unmarked(mark: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def clean_postings(
+    postings: DataFrame, variant: str = "clean", order: Sequence[str | Column] = (), at: Mark = _unmarked
+) -> DataFrame:
     # Any fixed order will do where the caller names none; the row hash makes it total.
     order = order or [*(c for c in ("listed_time",) if c in postings.columns), F.xxhash64(*postings.columns)]
-    df = dedup_first(postings, ["job_id"], order)
+    df = at("drop_dup_job_id", dedup_first(at("postings", postings), ["job_id"], order))
     if variant == "clean":
         df = df.withColumns({c: title_clean(c) for c in POSTING_TEXT if c in df.columns})
         df = df.withColumns({c: to_number(c) for c in ("views", "applies") if c in df.columns})
@@ -113,12 +121,12 @@ def _industry_order(df: DataFrame) -> list[str]:
     return _order(df, ["position", "tie_1", "tie_2"], []) if "position" in df.columns else ["industry_id"]
 
 
-def _company_side(tables: Tables, variant: str) -> tuple[DataFrame, list[str]]:
+def _company_side(tables: Tables, variant: str, at: Mark = _unmarked) -> tuple[DataFrame, list[str]]:
     """Company attributes and newest headcount side by side, one row per company."""
-    counts = latest_counts(tables["employee_counts"])
+    counts = at("employee_counts_latest", latest_counts(at("employee_counts", tables["employee_counts"])))
     if variant == "etl":
         return counts.select("company_id", "employee_count"), ["employee_count"]
-    companies = clean_companies(tables["companies"])
+    companies = at("companies_final", clean_companies(at("companies", tables["companies"])))
     cols = [c for c in ("name", "state", "country", "city", "company_size", "url") if c in companies.columns]
     more = [c for c in ("employee_count", "follower_count") if c in counts.columns]
     both = companies.select("company_id", *cols).join(counts.select("company_id", *more), "company_id", "full")
@@ -141,66 +149,85 @@ def posting_features(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def build_master(
-    tables: Tables, variant: str = "etl", salary_source: str = "posting", approx: bool = False
+    tables: Tables,
+    variant: str = "etl",
+    salary_source: str = "posting",
+    approx: bool = False,
+    counts: StepCounts | None = None,
 ) -> DataFrame:
     """One row per job.
 
     ``etl``: raw text, analysis columns, unknown keys as -1. ``clean``: title-cased text, company
     attributes, strict (>) high-view flags. ``salary_source`` (clean only): the posting's own
-    salary, the cleaned one, or the posting's with the cleaned one behind it.
+    salary, the cleaned one, or the posting's with the cleaned one behind it. ``counts`` takes the rows at every
+    step of the build when the result is written; ``counts.report(BUILD_STEPS)`` lists them (clean only).
     """
     if variant not in ("etl", "clean"):
         raise ValueError(f"variant must be 'etl' or 'clean', not {variant!r}")
     if salary_source not in ("posting", "clean", "coalesce"):
         raise ValueError(f"salary_source must be posting, clean or coalesce, not {salary_source!r}")
     distinct = variant == "clean"
-    df = clean_postings(tables["postings"], variant)
+    at = counts.at if counts else _unmarked
+    df = clean_postings(tables["postings"], variant, at=at)
     if variant == "etl":
         df = posting_features(etl_salary(df), approx)
     else:
         high = {"is_high_views": ("views", 0.75, ">"), "is_high_applies": ("applies", 0.75, ">")}
-        df = ft.quantile_flags(df, high, approx)
-        sal = clean_salaries(tables["salaries"], approx=approx)
+        df = at("postings_final", ft.quantile_flags(df, high, approx))
+        sal = at("salaries_final", clean_salaries(at("salaries", tables["salaries"]), approx=approx))
         cols = ["normalized_salary", "min_salary", "max_salary", "med_salary", "pay_period", "currency", "compensation_type"]
         df = enrich(df, sal, "job_id", [c for c in cols if c in sal.columns], suffix="_sal")
+        df = at("join_salary", df)
         clean = F.col("normalized_salary_sal") if "normalized_salary_sal" in df.columns else F.col("normalized_salary")
         if salary_source == "clean":
             df = df.withColumn("normalized_salary", clean)
         elif salary_source == "coalesce":
             df = df.withColumn("normalized_salary", F.coalesce("normalized_salary", clean))
         df = ft.salary_bands(df, "salary_band", guard_nonpositive=False)
-    df = enrich(df, benefit_counts(tables["benefits"], distinct), "job_id", ["benefit_count"], fills={"benefit_count": 0})
-    df = enrich(df, skill_counts(tables["job_skills"], distinct), "job_id", ["skill_count"], fills={"skill_count": 0})
-    ind = primary_industry(tables["job_industries"], tables["industries"], _industry_order(tables["job_industries"]))
-    df = enrich(df, ind, "job_id", ["primary_industry_id", "primary_industry_name"])
-    side, cols = _company_side(tables, variant)
-    df = enrich(df, side, "company_id", cols, suffix="_comp")
+    benefits = at("benefits_agg", benefit_counts(at("benefits", tables["benefits"]), distinct))
+    df = at("join_benefits", enrich(df, benefits, "job_id", ["benefit_count"], fills={"benefit_count": 0}))
+    skills = at("job_skills_agg", skill_counts(at("job_skills", tables["job_skills"]), distinct))
+    df = at("join_skills", enrich(df, skills, "job_id", ["skill_count"], fills={"skill_count": 0}))
+    order = _industry_order(tables["job_industries"])
+    ind = primary_industry(at("job_industries", tables["job_industries"]), tables["industries"], order)
+    ind = at("job_industries_primary", ind)
+    df = at("join_industry", enrich(df, ind, "job_id", ["primary_industry_id", "primary_industry_name"]))
+    side, cols = _company_side(tables, variant, at)
+    df = at("join_company", enrich(df, side, "company_id", cols, suffix="_comp"))
     if variant == "etl":
         keys = {"company_id": "company_known_flag", "primary_industry_id": "industry_known_flag"}
         df = ft.sentinel_keys(df, keys)
     return df
 
 
-def build_report(tables: Tables) -> list[tuple[str, DataFrame, DataFrame, str]]:
-    """Steps of the clean build for ``step_report``. Joins are compared on keys alone, so nothing wide is built twice."""
-    posts = tables["postings"].select("job_id")
-    jobs = posts.distinct()
-    children = {
-        "salaries_final": (tables["salaries"], tables["salaries"].select("job_id").distinct()),
-        "benefits_agg": (tables["benefits"], benefit_counts(tables["benefits"], True)),
-        "job_skills_agg": (tables["job_skills"], skill_counts(tables["job_skills"], True)),
-        "job_industries_primary": (
-            tables["job_industries"],
-            tables["job_industries"].na.drop(subset=["job_id", "industry_id"]).select("job_id").distinct(),
-        ),
-        "companies_final": (tables["companies"], tables["companies"].select("company_id").distinct()),
-        "employee_counts_latest": (
-            tables["employee_counts"],
-            tables["employee_counts"].na.drop(subset=["company_id"]).select("company_id").distinct(),
-        ),
-    }
-    steps = [("drop_dup_job_id", posts, jobs, "duplicate job_id removed")]
-    steps += [(name, before, after, "") for name, (before, after) in children.items()]
-    for name, side in (("join_benefits", "benefits_agg"), ("join_skills", "job_skills_agg")):
-        steps.append((name, jobs, jobs.join(children[side][1].select("job_id"), "job_id", "left"), ""))
-    return steps
+# The published steps and their order. A step goes from one mark of the build to another; headcounts
+# are joined with the companies, so their own step changes nothing.
+BUILD_STEPS = [
+    ("drop_dup_job_id", "postings", "drop_dup_job_id", "duplicate job_id removed"),
+    ("postings_final", "drop_dup_job_id", "postings_final", ""),
+    ("salaries_final", "salaries", "salaries_final", ""),
+    ("benefits_agg", "benefits", "benefits_agg", ""),
+    ("job_skills_agg", "job_skills", "job_skills_agg", ""),
+    ("job_industries_primary", "job_industries", "job_industries_primary", ""),
+    ("companies_final", "companies", "companies_final", ""),
+    ("employee_counts_latest", "employee_counts", "employee_counts_latest", ""),
+    ("join_salary", "postings_final", "join_salary", ""),
+    ("join_benefits", "join_salary", "join_benefits", ""),
+    ("join_skills", "join_benefits", "join_skills", ""),
+    ("join_industry", "join_skills", "join_industry", ""),
+    ("join_company", "join_industry", "join_company", ""),
+    ("join_employee_counts", "join_company", "join_company", "joined with the company"),
+    ("dedup_final", "join_company", "dedup_final", "ensure 1-row-per-job_id"),
+]
+
+
+def build_report(tables: Tables, **how) -> DataFrame:
+    """Rows in and out of every step of the clean build, counted in one run of the build itself.
+
+    The last step looks at job_id alone: the build keeps one row per job, a join that grew it would show there.
+    """
+    counts = StepCounts()
+    jobs = build_master(tables, "clean", counts=counts, **how).select("job_id")
+    kept = counts.at("dedup_final", dedup_first(jobs, ["job_id"], ["job_id"]))
+    kept.write.format("noop").mode("overwrite").save()
+    return counts.report(BUILD_STEPS)

@@ -133,6 +133,7 @@ def jobs_master_clean(spark, d):
     "B7 D1",
     with_(
         q.P, q.SALARIES, q.BENEFITS, q.JOB_SKILLS, q.JOB_INDUSTRIES, q.COMPANIES, q.COUNTS,
+        "j AS (SELECT job_id, min(company_id) AS company_id FROM p GROUP BY job_id)",
         select="""SELECT 'drop_dup_job_id' AS step, count(*) AS rows_in, count(DISTINCT job_id) AS rows_out FROM p
   UNION ALL SELECT 'salaries_final', count(*), count(DISTINCT job_id) FROM salaries
   UNION ALL SELECT 'benefits_agg', count(*), count(DISTINCT job_id) FROM benefits
@@ -140,12 +141,21 @@ def jobs_master_clean(spark, d):
   UNION ALL SELECT 'job_industries_primary', count(*), count(DISTINCT job_id) FROM job_industries
   UNION ALL SELECT 'companies_final', count(*), count(DISTINCT company_id) FROM companies
   UNION ALL SELECT 'employee_counts_latest', count(*), count(DISTINCT company_id) FROM counts
-  UNION ALL SELECT 'join_benefits', count(DISTINCT job_id), count(DISTINCT job_id) FROM p
-  UNION ALL SELECT 'join_skills', count(DISTINCT job_id), count(DISTINCT job_id) FROM p""",
+  UNION ALL SELECT 'postings_final', count(DISTINCT job_id), count(DISTINCT job_id) FROM p
+  UNION ALL SELECT 'join_salary', (SELECT count(*) FROM j), count(*) FROM j LEFT JOIN (SELECT DISTINCT job_id FROM salaries) USING (job_id)
+  UNION ALL SELECT 'join_benefits', (SELECT count(*) FROM j), count(*) FROM j LEFT JOIN (SELECT DISTINCT job_id FROM benefits) USING (job_id)
+  UNION ALL SELECT 'join_skills', (SELECT count(*) FROM j), count(*) FROM j LEFT JOIN (SELECT DISTINCT job_id FROM job_skills) USING (job_id)
+  UNION ALL SELECT 'join_industry', (SELECT count(*) FROM j), count(*) FROM j
+    LEFT JOIN (SELECT DISTINCT job_id FROM job_industries) USING (job_id)
+  UNION ALL SELECT 'join_company', (SELECT count(*) FROM j), count(*) FROM j
+    LEFT JOIN (SELECT DISTINCT company_id FROM companies) USING (company_id)
+  UNION ALL SELECT 'join_employee_counts', (SELECT count(*) FROM j), count(*) FROM j
+    LEFT JOIN (SELECT DISTINCT company_id FROM counts) USING (company_id)
+  UNION ALL SELECT 'dedup_final', (SELECT count(*) FROM j), count(DISTINCT job_id) FROM j""",
     ),
 )
 def master_build_report(spark, d):
-    return audit.step_report(build_report(s.tables(spark, d))).select("step", "rows_in", "rows_out")
+    return build_report(s.tables(spark, d)).select("step", "rows_in", "rows_out")
 
 
 @query(
