@@ -313,21 +313,21 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
     floor = np.log10(model.tokens + model.types + 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[int, int]] = {}
+        known: dict[bytes, int] = {}  # unit and count in one number: counts are below 2 ** 40, and -1 where the word is not common
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 out: list[list] = [[] for _ in range(6)]
                 for t in texts(part, "text"):
                     tokens = words(t)
-                    known.update((w, (model.units.of(w), model.common.get(w, -1))) for w in set(tokens).difference(known))
-                    found = np.array([known[w] for w in tokens], dtype=np.int64).reshape(-1, 2)
-                    ids = np.append(found[:, 0], end)
-                    c = np.append(found[:, 1], model.common[END])
+                    known.update((w, (model.units.of(w) << 40) + model.common.get(w, -1) + 1) for w in set(tokens).difference(known))
+                    found = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+                    ids = np.append(found >> 40, end)
+                    c = np.append((found & ((1 << 40) - 1)) - 1, model.common[END])
                     classes = model.classes[ids]
                     logs = np.log10(np.maximum(c, 0) + 1).sum()
                     before = np.concatenate([[model.classes[end]], classes[:-1]])
-                    rest = Counter(w for w, x in zip(tokens, c.tolist(), strict=False) if x < 0)
+                    rest = Counter(map(tokens.__getitem__, np.flatnonzero(c < 0).tolist()))
                     for col, v in zip(out, (len(c), int((c > 0).sum()), logs - len(c) * floor, logs + float(model.logp[before, classes].sum() - below[classes].sum()), list(rest.keys()), list(rest.values())), strict=True):
                         col.append(v)
                     if len(known) > FLUSH:
