@@ -72,6 +72,27 @@ def test_bounds_prune_and_frequent_skills_are_dealt_out(spark, monkeypatch):
     assert 0 < met.count() < 0.5 * mine.count() * job_sets.count()
 
 
+def test_narrow_and_wide_sets_meet_without_a_pair_list(spark, monkeypatch):
+    """Sets beyond SMALL go by the index, the others by shared parts; of a long list only its first k sets are read."""
+    rng = random.Random(8)
+    names = [f"s{i:02}" for i in range(12)]
+    jobs = {i: set(rng.sample(names, rng.randint(0, 7))) for i in range(700)}
+    people = {i: set(rng.sample(names, rng.randint(0, 7))) for i in range(50)}
+    p, j = _frames(spark, people, jobs)
+    everyone = spark.createDataFrame([(i,) for i in people], "profile_id bigint")
+    for small in (3, 10):
+        monkeypatch.setattr(matching, "SMALL", small)
+        for k in (2, 30):
+            got = {}
+            for r in matching.top_matches(p, j, k, everyone=everyone).collect():
+                got.setdefault(r["profile_id"], []).append((r["job_id"], round(r["score"], 9)))
+            assert {i: sorted(v, key=lambda x: (-x[1], x[0])) for i, v in got.items()} == _brute(people, jobs, k)
+    job_sets = j.groupBy("required_skills").agg(F.min("job_id").alias("jset"), F.count("job_id").alias("n"))
+    mine = matching.skill_sets(p).groupBy("have").agg(F.min("profile_id").alias("pset"))
+    meet = mine.crossJoin(job_sets).where(F.arrays_overlap("have", "required_skills")).count()
+    assert matching.best_job_sets(mine, job_sets, 2).count() < 0.1 * meet
+
+
 def test_few_jobs_fill_with_zero_scores(spark):
     jobs = {3: {"a"}, 1: {"b"}, 2: set(), 9: {"a", "b"}}
     people = {7: {"a"}, 8: {"z"}}
