@@ -226,3 +226,32 @@ def test_ridge_with_more_features_than_the_normal_equations_take(spark):
     beta = xc.T @ np.linalg.solve(xc @ xc.T + 2.0 * np.eye(n), y - y.mean())
     assert fit.model.coefficients.size == d
     assert np.allclose(fit.model.coefficients.toArray(), beta, atol=1e-4)
+
+
+def test_class_weights_and_class_cuts_leave_rows_where_they_are(spark):
+    """No task gets a whole class, also where Spark would not broadcast by itself: the fit keeps the partitions of its rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(0, 3000, 1, 6).selectExpr("id", "cast(id % 3 = 0 as int) as y")
+        weighted = prepare.balanced_weights(df, "y")
+        train, test = prepare.split(df, ["id"], 0.2, 42, stratify="y")
+        for rows in (weighted, train, test):
+            assert rows.rdd.getNumPartitions() == 6
+            assert max(len(p) for p in rows.rdd.glom().collect()) <= 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {r.y: r.weight for r in weighted.select("y", "weight").distinct().collect()} == {0: 0.75, 1: 1.5}
+    assert {r.y: r["count"] for r in test.groupBy("y").count().collect()} == {0: 400, 1: 200}
+
+
+def test_models_are_fitted_when_asked_for(spark, jobs):
+    from vacancia.plans.reports_models import _Fits
+
+    made = []
+    how = {n: lambda train, target, f, n=n: made.append((n, train.columns)) or n for n in ("a", "b", "c")}
+    fits = _Fits(jobs, dict(categories=["kind"], numbers=["n"]), "pay", how)
+    assert made == [] and fits("b") == {"b": "b"} and [n for n, _ in made] == ["b"]
+    assert list(fits()) == ["a", "b", "c"] and [n for n, _ in made] == ["b", "a", "c"]
+    assert made[0][1] == ["pay", "features"]
