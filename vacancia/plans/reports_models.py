@@ -405,34 +405,48 @@ def _spec(kw) -> prepare.FeatureSpec:
     return prepare.text_spec(**{**kw, "categories": prepare.drop_leakage(kw["categories"], LEAKAGE)})
 
 
+class _Fits:
+    """The models over one training table, each fitted when it is first asked for and then kept."""
+
+    def __init__(self, train, spec, target, how):
+        self.features = prepare.fit_features(train, _spec(spec))
+        self.train = self.features.transform(train).select(target, "features")
+        self.target, self.how, self.found = target, how, {}
+
+    def __call__(self, *names):
+        """The named models, all without names, in the order of ``how``."""
+        wanted = [n for n in self.how if n in names or not names]
+        missing = [n for n in wanted if n not in self.found]
+        if missing:
+            self.train.persist()
+            for n in missing:
+                self.found[n] = self.how[n](self.train, self.target, self.features)
+            self.train.unpersist()
+        return {n: self.found[n] for n in wanted}
+
+
 @cache
 def salary_models(spark, d):
     paid = keys.valid_salary(_model_table(spark, d), low=20_000, high=400_000)
     train, test = prepare.split(paid, ["job_id"], 0.2, 42)
-    f = prepare.fit_features(train, _spec(SALARY_SPEC))
-    train = f.transform(train).select("normalized_salary", "features").persist()
-    fits = {
-        "ridge": models.fit_ridge(train, "normalized_salary", f, alpha=10.0),
-        "rf": models.fit_forest_reg(train, "normalized_salary", f, trees=20, depth=10, leaf=2),
-        "gbt": models.fit_gbt(train, "normalized_salary", f, iters=20, depth=5, bins=64),
+    how = {
+        "ridge": lambda *t: models.fit_ridge(*t, alpha=10.0),
+        "rf": lambda *t: models.fit_forest_reg(*t, trees=20, depth=10, leaf=2),
+        "gbt": lambda *t: models.fit_gbt(*t, iters=20, depth=5, bins=64),
     }
-    train.unpersist()
-    return fits, paid, test
+    return _Fits(train, SALARY_SPEC, "normalized_salary", how), paid, test
 
 
 @cache
 def plain_salary_models(spark, d):
     paid = keys.valid_salary(_model_table(spark, d), low=20_000, high=400_000)
     train, test = prepare.split(paid, ["job_id"], 0.2, 42)
-    f = prepare.fit_features(train, _spec(PLAIN_SALARY_SPEC))
-    train = f.transform(train).select("normalized_salary", "features").persist()
-    fits = {
-        "DecisionTree": models.fit_tree(train, "normalized_salary", f, depth=10),
-        "RandomForest": models.fit_forest_reg(train, "normalized_salary", f, trees=20, depth=10, leaf=1),
-        "GradientBoosting": models.fit_gbt(train, "normalized_salary", f, iters=20, step=0.1, depth=5),
+    how = {
+        "DecisionTree": lambda *t: models.fit_tree(*t, depth=10),
+        "RandomForest": lambda *t: models.fit_forest_reg(*t, trees=20, depth=10, leaf=1),
+        "GradientBoosting": lambda *t: models.fit_gbt(*t, iters=20, step=0.1, depth=5),
     }
-    train.unpersist()
-    return fits, test
+    return _Fits(train, PLAIN_SALARY_SPEC, "normalized_salary", how), test
 
 
 @cache
@@ -440,25 +454,18 @@ def hot_models(spark, d):
     seen = _model_table(spark, d).na.drop(subset=["views"])
     seen = ft.threshold_flag(seen, "views", 8, "is_hot_job")
     train, test = prepare.split(seen, ["job_id"], 0.2, 42, stratify="is_hot_job")
-    f = prepare.fit_features(train, _spec(HOT_SPEC))
-    train = f.transform(train).select("is_hot_job", "features").persist()
-    fits = {
-        "LogisticRegression": models.fit_logistic(train, "is_hot_job", f, iters=1000),
-        "RandomForest": models.fit_forest_clf(train, "is_hot_job", f, trees=20, depth=10),
+    how = {
+        "LogisticRegression": lambda *t: models.fit_logistic(*t, iters=1000),
+        "RandomForest": lambda *t: models.fit_forest_clf(*t, trees=20, depth=10),
     }
-    train.unpersist()
-    return fits, seen, test
+    return _Fits(train, HOT_SPEC, "is_hot_job", how), seen, test
 
 
 @cache
 def disclosure_model(spark, d):
     df = _model_table(spark, d)
     train, test = prepare.split(df, ["job_id"], 0.2, 42, stratify="has_salary")
-    f = prepare.fit_features(train, _spec(DISCLOSURE_SPEC))
-    train = f.transform(train).select("has_salary", "features").persist()
-    fit = models.fit_logistic(train, "has_salary", f, iters=1000)
-    train.unpersist()
-    return fit, test
+    return _Fits(train, DISCLOSURE_SPEC, "has_salary", {"LogisticRegression": lambda *t: models.fit_logistic(*t, iters=1000)}), test
 
 
 @cache
@@ -470,12 +477,13 @@ def segments(spark, d):
 @query("salary_model_metrics", "L1 L2 L3 L9 M1 K1 K7 K9 C8")
 def salary_model_metrics(spark, d):
     fits, _, test = salary_models(spark, d)
-    return rounded(models.benchmark(fits, test, "normalized_salary"))
+    return rounded(models.benchmark(fits(), test, "normalized_salary"))
 
 
 @query("salary_predictions", "L12 D17 I7")
 def salary_predictions(spark, d):
     fits, paid, test = salary_models(spark, d)
+    fits = fits()
     best = models.choose_champion(models.benchmark(fits, test, "normalized_salary"), "r2").first()["model"]
     scored = models.score_salaries(paid, fits, best)
     return rounded(
@@ -489,13 +497,13 @@ def salary_predictions(spark, d):
 
 @query("salary_feature_importance", "L10")
 def salary_feature_importance(spark, d):
-    return rounded(models.feature_importance(salary_models(spark, d)[0]["rf"], 20), 6)
+    return rounded(models.feature_importance(salary_models(spark, d)[0]("rf")["rf"], 20), 6)
 
 
 @query("plain_salary_model_metrics", "L2 L4 L5 L9")
 def plain_salary_model_metrics(spark, d):
     fits, test = plain_salary_models(spark, d)
-    return rounded(models.benchmark(fits, test, "normalized_salary"))
+    return rounded(models.benchmark(fits(), test, "normalized_salary"))
 
 
 @query("plain_salary_champion", "L9")
@@ -506,31 +514,31 @@ def plain_salary_champion(spark, d):
 @query("hot_job_model_metrics", "L6 L7 L9 M2 M5 K2 K8 K10")
 def hot_job_model_metrics(spark, d):
     fits, _, test = hot_models(spark, d)
-    return rounded(models.benchmark(fits, test, "is_hot_job"))
+    return rounded(models.benchmark(fits(), test, "is_hot_job"))
 
 
 @query("hot_job_predictions", "L12")
 def hot_job_predictions(spark, d):
     fits, seen, _ = hot_models(spark, d)
-    scored = models.score_hot(seen, fits["RandomForest"])
+    scored = models.score_hot(seen, fits("RandomForest")["RandomForest"])
     cols = ["job_id", "title", "views", "is_hot_job", "hot_job_prob", "hot_job_pred", "primary_industry_name"]
     return rounded(scored.select(*cols, "formatted_experience_level"))
 
 
 @query("hot_job_feature_importance", "L10")
 def hot_job_feature_importance(spark, d):
-    return rounded(models.feature_importance(hot_models(spark, d)[0]["RandomForest"], 20), 6)
+    return rounded(models.feature_importance(hot_models(spark, d)[0]("RandomForest")["RandomForest"], 20), 6)
 
 
 @query("disclosure_model_metrics", "L6 M2 M5")
 def disclosure_model_metrics(spark, d):
-    fit, test = disclosure_model(spark, d)
-    return rounded(models.benchmark({"LogisticRegression": fit}, test, "has_salary"))
+    fits, test = disclosure_model(spark, d)
+    return rounded(models.benchmark(fits(), test, "has_salary"))
 
 
 @query("disclosure_drivers", "L11 E10")
 def disclosure_drivers(spark, d):
-    return rounded(models.drivers(disclosure_model(spark, d)[0], 10), 6)
+    return rounded(models.drivers(disclosure_model(spark, d)[0]()["LogisticRegression"], 10), 6)
 
 
 @query("segment_search", "L8 M6 M7")
@@ -556,7 +564,8 @@ WHAT_IF_DEFAULTS = {
 @query("what_if_postings", "L13 L14")
 def what_if_postings(spark, d):
     """Every part name as a hypothetical posting, the other fields at their defaults, through stored models."""
-    salary, hot = salary_models(spark, d)[0]["ridge"], hot_models(spark, d)[0]["RandomForest"]
+    salary = salary_models(spark, d)[0]("ridge")["ridge"]
+    hot = hot_models(spark, d)[0]("RandomForest")["RandomForest"]
     rows = s.raw(spark, d, "part").selectExpr("p_partkey", "p_name AS title", "CAST(p_size % 2 AS INT) AS is_remote")
     out = models.score_what_if(rows, WHAT_IF_DEFAULTS, salary, hot)
     return rounded(out.select("p_partkey", "title", "pred_salary", "salary_low", "salary_high", "hot_job_prob", "hot_advice"))
@@ -566,8 +575,9 @@ def what_if_postings(spark, d):
 def reloaded_model_scores(spark, d):
     """Save the model, load it, score the table with both; the difference is none."""
     fits, paid, _ = salary_models(spark, d)
+    ridge = fits("ridge")["ridge"]
     path = scratch_folder(spark, "model")
-    save_model(fits["ridge"], path)
-    both = load_model(path).predict(fits["ridge"].predict(paid, "kept"), "loaded")
+    save_model(ridge, path)
+    both = load_model(path).predict(ridge.predict(paid, "kept"), "loaded")
     gap = F.max(F.abs(F.col("kept") - F.col("loaded")))
     return both.agg(F.count("*").alias("n"), F.round(gap, 6).alias("largest_difference"))
