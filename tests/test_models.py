@@ -255,3 +255,24 @@ def test_models_are_fitted_when_asked_for(spark, jobs):
     assert made == [] and fits("b") == {"b": "b"} and [n for n, _ in made] == ["b"]
     assert list(fits()) == ["a", "b", "c"] and [n for n, _ in made] == ["b", "a", "c"]
     assert made[0][1] == ["pay", "features"]
+
+
+def test_kmeans_counts_equal_points_once(spark, monkeypatch):
+    """Scans read each distinct point once with its rows; sums, costs and ties are those of all rows."""
+    from vacancia.operators import kmeans
+
+    rng = np.random.default_rng(12)
+    few = rng.integers(0, 6, (40, 2)).astype(float)
+    rows = [(i, *few[i % 40].tolist()) for i in range(2000)]
+    df = models.segment_features(spark.createDataFrame(rows, "id bigint, a double, b double").repartition(5), ["a", "b"])
+    read, advance = [], kmeans._advance
+    monkeypatch.setattr(kmeans, "_advance", lambda r, runs: read.append(r.count()) or advance(r, runs))
+    found = kmeans.fit_all(df, ["id"], [2, 4], 3)
+    assert set(read) == {len(np.unique(few, axis=0))}
+    points = np.array([r.features.toArray() for r in df.select("features").collect()])
+    for r in found:
+        square = ((points[:, None] - r.centres[None]) ** 2).sum(2)
+        assert square.min(1).sum() == pytest.approx(r.cost, rel=1e-9)
+    tied, centres = np.array([[0.0, 0.0], [1.0, 0.0], [3.0, 4.0]]), np.array([[2.0, 0.0], [-2.0, 0.0], [0.0, 2.0], [2.0, 0.0]])
+    near, square = kmeans._assigned(tied, centres, (centres**2).sum(1)[:, None] - 2 * centres @ tied.T)
+    assert near.tolist() == [0, 0, 2] and square.tolist() == [4.0, 1.0, 13.0]

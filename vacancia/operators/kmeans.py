@@ -95,20 +95,49 @@ def starts(rows: DataFrame, k: int, n_init: int, seed: int) -> list[np.ndarray]:
     return chosen
 
 
+def _assigned(points: np.ndarray, centres: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre (among equals the first) and squared distance to it.
+
+    ``score`` is |c|^2 - 2 x . c, a row per centre. It decides where one centre is clearly nearest; distances that close
+    calls need, and those returned, are added up dimension by dimension.
+    """
+    best, second = score[0], np.full(len(points), np.inf)
+    near = np.zeros(len(points), dtype=np.intp)
+    for slot in range(1, len(centres)):
+        closer = score[slot] < best
+        second = np.where(closer, best, np.minimum(second, score[slot]))
+        best = np.minimum(best, score[slot])
+        near[closer] = slot
+    close = np.flatnonzero(~(second - best > 1e-9 * (np.abs(best) + np.abs(second) + (points * points).sum(axis=1))))
+    if len(close) and len(centres) > 1:
+        near[close] = _squares(points[close], centres).argmin(axis=1)
+    apart = points - centres[near]
+    square = np.zeros(len(points))
+    for d in range(points.shape[1]):
+        square += apart[:, d] ** 2
+    return near, square
+
+
 def _advance(rows: DataFrame, runs: Sequence[Run]) -> list[np.ndarray]:
-    """One scan for all runs: per run an array of (slot, dimensions + 2) with each centre's sums, its rows and their cost."""
+    """One scan for all runs: per run an array of (slot, dimensions + 2) with each centre's sums, its rows and their cost.
+
+    ``rows``: how often a point occurs, and the point.
+    """
     all_centres = [r.centres for r in runs]
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [np.zeros((len(c), c.shape[1] + 2)) for c in all_centres]
-        for _, points in _batches(batches):
-            wide = np.column_stack([points, np.ones(len(points)), np.zeros(len(points))])
-            for sums, centres in zip(total, all_centres):
-                square = _squares(points, centres)
-                near = square.argmin(axis=1)
-                wide[:, -1] = square[np.arange(len(points)), near]
-                for slot in range(len(centres)):
-                    sums[slot] += wide[near == slot].sum(axis=0)
+        every = np.vstack(all_centres)
+        norms = (every * every).sum(axis=1)[:, None]
+        ends = np.cumsum([len(c) for c in all_centres])
+        for n, points in _batches(batches):
+            n = n.astype(np.float64)
+            weighed = points * n[:, None]
+            scores = norms - 2.0 * (every @ points.T)
+            for sums, centres, end in zip(total, all_centres, ends):
+                near, square = _assigned(points, centres, scores[end - len(centres) : end])
+                for at, column in enumerate([*weighed.T, n, square * n]):
+                    sums[:, at] += np.bincount(near, weights=column, minlength=len(centres))
         parts = []
         for i, sums in enumerate(total):
             slot, at = np.nonzero(sums)
@@ -129,13 +158,15 @@ def fit_all(
 ) -> list[Run]:
     """Every (k, start) run of K-means over the rows' ``features`` vectors.
 
-    All runs advance in one scan per iteration; what leaves a task is a few numbers per run and centre. The first k of
+    All runs advance in one scan per iteration over the distinct points, each with the number of its rows; what leaves a
+    task is a few numbers per run and centre. The first k of
     start i's centres begin run (k, i). A run ends when no centre moves farther than ``tol``, and its cost belongs to the
     centres it returns. A centre without rows stays where it is. The picks depend on the keys, not on the
     partitioning. Rows without a vector take no part; no rows at all give no runs.
     """
     vector = df.select(F.xxhash64(*keys).alias("id"), F.when(F.col("features").isNotNull(), vector_to_array("features")).alias("x"))
     rows = vector.where("x is not null").persist()
+    points = rows.groupBy("x").agg(F.count("*").alias("n")).select("n", "x").persist()
     try:
         first = starts(rows, max(ks), n_init, seed)
         runs = [Run(k, i, c[: min(k, len(c))].copy()) for k in ks for i, c in enumerate(first)]
@@ -143,7 +174,7 @@ def fit_all(
             open_ = [r for r in runs if not r.done]
             if not open_:
                 break
-            for r, sums in zip(open_, _advance(rows, open_)):
+            for r, sums in zip(open_, _advance(points, open_)):
                 r.cost = float(sums[:, -1].sum())
                 n = sums[:, -2:-1]
                 moved = np.where(n > 0, sums[:, :-2] / np.maximum(n, 1), r.centres)
@@ -152,6 +183,7 @@ def fit_all(
                 else:
                     r.centres, r.iterations = moved, r.iterations + 1
     finally:
+        points.unpersist()
         rows.unpersist()
     return runs
 
