@@ -567,6 +567,8 @@ def what_if_postings(spark, d):
     salary = salary_models(spark, d)[0]("ridge")["ridge"]
     hot = hot_models(spark, d)[0]("RandomForest")["RandomForest"]
     rows = s.raw(spark, d, "part").selectExpr("p_partkey", "p_name AS title", "CAST(p_size % 2 AS INT) AS is_remote")
+    # Few bytes and much work a row: as many tasks as there are cores, whatever the files.
+    rows = rows.repartition(2 * spark.sparkContext.defaultParallelism, "p_partkey")
     out = models.score_what_if(rows, WHAT_IF_DEFAULTS, salary, hot)
     return rounded(out.select("p_partkey", "title", "pred_salary", "salary_low", "salary_high", "hot_job_prob", "hot_advice"))
 
