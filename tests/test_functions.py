@@ -89,3 +89,14 @@ def test_accents_of_any_letter(spark):
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
     got = {(r.c, r.t) for r in out.collect()}
     assert got == {(plain_letters(c), plain_letters(t)) for c, t in rows}
+
+
+def test_no_long_character_class_is_tried_on_whole_texts(spark, monkeypatch):
+    from vacancia.operators.text import plain_letters, strip_accents
+
+    asked, rlike = [], F.rlike
+    monkeypatch.setattr(F, "rlike", lambda text, pattern: asked.append(str(pattern)) or rlike(text, pattern))
+    rows = ["plain", "\u00e9t\u00e9", "\u00bd cup\u2026 \u00e9", "\uac01 x", "\ufb01n e\u0301 \u0416"]
+    out = strip_accents(spark.createDataFrame([(t, t) for t in rows], "t string, c string"), "c")
+    assert asked and max(map(len, asked)) < 200
+    assert {r.t: r.c for r in out.collect()} == {t: plain_letters(t) for t in rows}

@@ -64,21 +64,26 @@ def _spelled(part: Column, table: Column) -> Column:
     vowel = F.substr(F.lit(_VOWELS), (at % 588 / 28).cast("int") + 1, F.lit(1))
     last = F.when(at % 28 > 0, F.substr(F.lit(_LASTS), (at % 28).cast("int"), F.lit(1))).otherwise(F.lit(""))
     hangul = F.rlike(part, F.lit(rf"^[\x{{{_HANGUL:x}}}-\x{{{_HANGUL_END - 1:x}}}]"))
-    return F.when(hangul, F.concat(first, vowel, last)).otherwise(F.coalesce(F.element_at(table, part), part))
+    spelled = F.when(hangul, F.concat(first, vowel, last)).otherwise(F.coalesce(F.element_at(table, part), part))
+    return F.when(F.ascii(part) < 128, part).otherwise(spelled)
 
 
 def strip_accents(df: DataFrame, col: str) -> DataFrame:
     """Drop accents from a text column: the compatibility decomposition of every character, without combining marks.
 
-    Plain ASCII texts stay as they are. Characters that become several are spelled out only in texts that hold one.
+    Plain ASCII texts stay as they are. Characters that become several are spelled out only in texts that hold one. Whether
+    one does is looked up in a table; a regular expression would try hundreds of ranges on every character.
     """
     one_from, one_to, many = _accent_table()
-    special = _char_class("".join(many)) + rf"\x{{{_HANGUL:x}}}-\x{{{_HANGUL_END - 1:x}}}"
+    hangul = rf"\x{{{_HANGUL:x}}}-\x{{{_HANGUL_END - 1:x}}}"
+    special = _char_class("".join(many)) + hangul
     pairs = "\x01".join(f"{ch}\x02{plain}" for ch, plain in many.items())
     table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
-    parts = F.regexp_extract_all(col, F.lit(rf"([{special}]|[^{special}]+)"), F.lit(1))
+    parts = F.regexp_extract_all(col, F.lit(rf"([\x00-\x7f]+|[{special}]|[^\x00-\x7f{special}]+)"), F.lit(1))
     spelled = F.array_join(F.transform(parts, lambda x: _spelled(x, table)), "")
-    whole = F.when(F.rlike(col, F.lit(f"[{special}]")), spelled).otherwise(F.col(col))
+    other = F.regexp_replace(col, r"[\x00-\x7f]+", "")
+    several = (F.translate(other, "".join(many), "") != other) | F.rlike(other, F.lit(f"[{hangul}]"))
+    whole = F.when(several, spelled).otherwise(F.col(col))
     bare = F.translate(whole, one_from, one_to)
     return df.withColumn(col, F.when(F.rlike(col, F.lit(r"[^\x00-\x7f]")), bare).otherwise(F.col(col)))
 
@@ -134,16 +139,14 @@ def _one_per_row(df: DataFrame, keep: Sequence[str], items: str, name: str) -> D
 def vocabulary(docs: DataFrame, toks: str, max_features: int) -> DataFrame:
     """The most frequent terms with their smoothed inverse document frequency: (term, term_no, idf).
 
-    Ties go to the smaller term. One pass: in the sorted words of a document, a word is first where
-    it differs from the one before, so rows count the term and firsts count its documents. Both
-    combine map-side and no text is shuffled.
+    Ties go to the smaller term. One pass: a document gives its words as they stand and once more each word by itself, so
+    the former count the term and the latter its documents. Both combine map-side and no text is shuffled.
     """
-    ordered = docs.select(F.array_sort(toks).alias("_s"))
-    marked = F.transform(
-        "_s", lambda x, i: F.struct(x.alias("term"), (~x.eqNullSafe(F.get("_s", i - 1))).cast("long").alias("first"))
-    )
-    rows = _one_per_row(ordered.select(marked.alias("_m")), [], "_m", "e")
-    counts = rows.groupBy("e.term").agg(F.count("*").alias("total"), F.sum("e.first").alias("df"))
+    both = [(F.col(toks), 0), (F.array_distinct(toks), 1)]
+    lists = F.array(*(F.struct(words.alias("terms"), F.lit(once).alias("once")) for words, once in both))
+    halves = docs.select(F.explode(lists).alias("e")).select("e.terms", "e.once")
+    rows = _one_per_row(halves, ["once"], "terms", "term")
+    counts = rows.groupBy("term").agg(F.sum(1 - F.col("once")).alias("total"), F.sum("once").alias("df"))
     n = docs.agg(F.count("*").alias("n")).scalar()
     return (
         top_k(counts, [F.desc("total"), "term"], max_features)
