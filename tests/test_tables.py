@@ -172,3 +172,13 @@ def test_build_report_of_empty_tables(spark):
     some = {**standins.tables(spark, FOLDER), "benefits": tables["benefits"]}
     got = {r.step: r for r in master.build_report(some).collect()}
     assert got["benefits_agg"].rows_in == 0 and got["join_benefits"].rows_out == some["postings"].count()
+
+
+def test_bridge_deals_rows_by_job(spark):
+    from vacancia.operators import star
+
+    child = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (None, "d")], "job_id bigint, skill string")
+    fact = spark.createDataFrame([(1,), (3,), (3,)], "job_id bigint")
+    rows = star.bridge(child, fact, "job_id", ["job_id", "skill"], 5)
+    assert sorted(map(tuple, rows.collect())) == [(1, "a"), (1, "a"), (3, "c")]
+    assert rows.rdd.getNumPartitions() == 5

@@ -87,9 +87,14 @@ def dim_calendar(df: DataFrame, col: str = "listed_date", observed_only: bool =
     )
 
 
-def bridge(child: DataFrame, fact: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """The child rows whose job is in the fact."""
-    return keep_known(child.select(*cols), fact, key)
+def bridge(child: DataFrame, fact: DataFrame, key: str, cols: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The child rows whose job is in the fact.
+
+    ``parts`` deals the child rows to that many tasks by job first: counts per job and value then need no table of
+    nearly all rows of a file split, as a job's rows are spread over the files.
+    """
+    rows = child.select(*cols)
+    return keep_known(rows if parts is None else rows.repartition(parts, key), fact, key)
 
 
 def attach_scores(fact: DataFrame, scores: Mapping[str, tuple[DataFrame, str]], key: str = "job_id") -> DataFrame:

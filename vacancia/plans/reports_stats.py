@@ -701,6 +701,11 @@ def dim_calendar_observed(spark, d):
     return star.dim_calendar(s.postings(spark, d), "listed_time", observed_only=True)
 
 
+def _line_parts(spark, d):
+    """Tasks for the lines: eight a file split, so that a task's share has a bound however many lines there are."""
+    return 8 * s.raw(spark, d, "lineitem").rdd.getNumPartitions()
+
+
 @query(
     "bridge_job_benefit",
     "I6 E6",
@@ -712,7 +717,7 @@ def dim_calendar_observed(spark, d):
 )
 def bridge_job_benefit(spark, d):
     fact = s.postings(spark, d).where(F.col("views").isNotNull())
-    rows = star.bridge(s.benefits(spark, d), fact, "job_id", ["job_id", "type"])
+    rows = star.bridge(s.benefits(spark, d), fact, "job_id", ["job_id", "type"], _line_parts(spark, d))
     return rows.groupBy("job_id", "type").agg(F.count("*").alias("n"))
 
 
@@ -727,7 +732,7 @@ def bridge_job_benefit(spark, d):
 )
 def bridge_job_skill(spark, d):
     fact = s.postings(spark, d).where(F.col("views").isNotNull())
-    rows = star.bridge(s.job_skills(spark, d), fact, "job_id", ["job_id", "skill_abr"])
+    rows = star.bridge(s.job_skills(spark, d), fact, "job_id", ["job_id", "skill_abr"], _line_parts(spark, d))
     return rows.groupBy("job_id", "skill_abr").agg(F.count("*").alias("n"))
 
 
