@@ -276,3 +276,39 @@ def test_kmeans_counts_equal_points_once(spark, monkeypatch):
     tied, centres = np.array([[0.0, 0.0], [1.0, 0.0], [3.0, 4.0]]), np.array([[2.0, 0.0], [-2.0, 0.0], [0.0, 2.0], [2.0, 0.0]])
     near, square = kmeans._assigned(tied, centres, (centres**2).sum(1)[:, None] - 2 * centres @ tied.T)
     assert near.tolist() == [0, 0, 2] and square.tolist() == [4.0, 1.0, 13.0]
+
+
+def test_vocabulary_counts_without_sorting_texts(spark, monkeypatch):
+    from vacancia.operators.text import vocabulary
+
+    def refused(*_):
+        raise AssertionError("the words of a text are not sorted")
+
+    monkeypatch.setattr(F, "array_sort", refused)
+    docs = spark.createDataFrame([(["b", "a", "b"],), (["b"],), (["c", "c"],), ([],)], "t array<string>")
+    got = {r["term"]: (r["term_no"], r["idf"]) for r in vocabulary(docs, "t", 2).collect()}
+    assert got == {"b": (0, pytest.approx(np.log(5 / 3) + 1)), "c": (1, pytest.approx(np.log(5 / 2) + 1))}
+
+
+def test_models_of_one_preparation_prepare_rows_once(spark, jobs, monkeypatch):
+    f = prepare.fit_features(jobs, prepare.text_spec(**SPEC))
+    fits = {"a": models.fit_ridge(jobs, "pay", f), "b": models.fit_tree(jobs, "pay", f, depth=3)}
+    alone = {n: evaluate.regression_metrics(m.predict(jobs, "p"), "pay", "p").first().asDict() for n, m in fits.items()}
+    calls, transform = [], prepare.Features.transform
+    monkeypatch.setattr(prepare.Features, "transform", lambda self, df: calls.append(1) or transform(self, df))
+    table = models.benchmark(fits, jobs, "pay").collect()
+    assert len(calls) == 1 and [r["model"] for r in table] == ["a", "b"]
+    for r in table:
+        assert {c: r[c] for c in ("mae", "rmse", "r2")} == pytest.approx(alone[r["model"]])
+    scored = models.score_salaries(jobs, fits, "b", target="pay")
+    assert len(calls) == 2 and "features" not in scored.columns
+
+
+def test_preparation_reads_kept_training_rows(spark, jobs, monkeypatch):
+    from vacancia.plans import reports_models
+
+    seen, fit = [], prepare.fit_features
+    monkeypatch.setattr(prepare, "fit_features", lambda rows, spec: seen.append((rows.is_cached, rows.columns)) or fit(rows, spec))
+    fits = reports_models._Fits(jobs, SPEC, "pay", {"tree": lambda *t: models.fit_tree(*t, depth=3)})
+    assert seen == [(True, ["pay", "title", "kind", "n"])]
+    assert list(fits()) == ["tree"]
