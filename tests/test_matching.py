@@ -136,3 +136,21 @@ def test_salary_suggestion_zero_without_priced_jobs(spark):
     assert tuple(matching.salary_suggestion(p, none).first()) == (1, 0, 0.0, 0.0, 0.0)
     some = jobs.withColumn("normalized_salary", F.col("job_id") * 100.0)
     assert tuple(matching.salary_suggestion(p, some).first()) == (1, 2, 125.0, 150.0, 175.0)
+
+
+def test_nothing_that_grows_goes_by_way_of_the_driver(spark, monkeypatch):
+    """Lists of skill sets look small to Spark, packed as they are; a broadcast of them took half a gigabyte of the driver."""
+    rng = random.Random(8)
+    names = [f"s{i}" for i in range(14)]
+    jobs = {i: set(rng.sample(names, rng.randint(0, 12))) for i in range(120)}
+    people = {i: set(rng.sample(names, rng.randint(1, 12))) for i in range(30)}
+    p, j = _frames(spark, people, jobs)
+    priced = j.withColumn("normalized_salary", F.lit(5.0))
+    plans = []
+    stored = matching.stored
+    monkeypatch.setattr(matching, "stored", lambda df, name: plans.append(df) or stored(df, name))
+    plans += [matching.top_matches(p, j, 5), matching.salary_suggestion(p, priced, n=5)]
+    for df in plans:
+        for line in str(df._jdf.queryExecution().executedPlan()).split("\n"):
+            if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line:
+                assert "[skill#" in line, line  # figures per skill alone
