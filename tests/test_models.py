@@ -328,3 +328,17 @@ def test_silhouette_takes_every_row(spark):
     assert (got.silhouette, got.n) == (pytest.approx(s.mean(), abs=1e-9), 5300)
     assert evaluate.silhouette(df, "f", "c", ["id"], 100).first().n == 100
     assert evaluate.silhouette(df.limit(0), "f", "c", ["id"]).first().n == 0
+
+
+def test_salary_models_have_the_published_sizes(spark, jobs, monkeypatch):
+    from vacancia.plans import reports_models
+
+    asked = {}
+    monkeypatch.setattr(reports_models, "_model_table", lambda spark, d: jobs.selectExpr("job_id", "50000.0D as normalized_salary"))
+    monkeypatch.setattr(reports_models, "_Fits", lambda train, spec, target, how: how)
+    for name in ("fit_ridge", "fit_forest_reg", "fit_gbt"):
+        monkeypatch.setattr(models, name, lambda *t, name=name, **kw: asked.update({name: kw}))
+    for fit in reports_models.salary_models.__wrapped__(spark, "")[0].values():
+        fit(None, None, None)
+    assert asked["fit_ridge"] == {"alpha": 10.0} and asked["fit_forest_reg"] == {"trees": 300, "depth": 25, "leaf": 2}
+    assert asked["fit_gbt"]["iters"] == 300 and asked["fit_gbt"]["bins"] == 255 and asked["fit_gbt"]["leaf"] == 2
