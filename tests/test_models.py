@@ -342,3 +342,26 @@ def test_salary_models_have_the_published_sizes(spark, jobs, monkeypatch):
         fit(None, None, None)
     assert asked["fit_ridge"] == {"alpha": 10.0} and asked["fit_forest_reg"] == {"trees": 300, "depth": 25, "leaf": 2}
     assert asked["fit_gbt"]["iters"] == 300 and asked["fit_gbt"]["bins"] == 255 and asked["fit_gbt"]["leaf"] == 2
+
+
+def test_silhouettes_of_all_runs_come_from_one_scan(spark, monkeypatch):
+    """They are those of every row, with points that repeat, a point alone in its cluster and a centre without rows."""
+    from vacancia.operators import kmeans
+
+    rng = np.random.default_rng(21)
+    x = [*rng.normal(0, 1, (60, 2)).tolist(), *[[4.0, 4.0]] * 7, [90.0, 0.0]]
+    df = models.segment_features(spark.createDataFrame([(i, *p) for i, p in enumerate(x)], "id bigint, a double, b double").repartition(4), ["a", "b"])
+    runs, cheapest = kmeans.fit_measured(df, ["id"], [2, 4], 3, silhouette=True)
+    cell = lambda r: kmeans.nearest(df, r.centres).select("cluster", vector_to_array("features").alias("f"))
+    for run, got in cheapest.values():
+        assert run.cost == min(r.cost for r in runs if r.k == run.k)
+        assert got == pytest.approx(evaluate.silhouette_all(cell(run), "f", "cluster").first().silhouette, abs=1e-9)
+    far = np.vstack([cheapest[2][0].centres, [500.0, 500.0]])
+    points = kmeans.distinct_points(kmeans._flat(df, ["id"]))
+    for centres in (far, far[1:] * 0 + [[0.0, 0.0], [500.0, 500.0]]):
+        run = kmeans.Run(len(centres), 0, centres)
+        run.end(kmeans._advance(points, [run])[0])
+        want = evaluate.silhouette_all(cell(run), "f", "cluster").first().silhouette
+        assert kmeans.silhouettes(points, [run]) == [None if want is None else pytest.approx(want, abs=1e-9)]
+    monkeypatch.setattr(evaluate, "silhouette_all", None)  # six passes over all rows, each k for itself, before
+    assert models.fit_kmeans(df, ["id"], [2, 4], 3).table.count() == 2

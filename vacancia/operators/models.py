@@ -251,18 +251,17 @@ def fit_kmeans(
 ) -> Segments:
     """K-means for every k, the cheapest of ``n_init`` starts each, and the k with the best silhouette.
 
-    All runs share their scans. The silhouette is the squared Euclidean one of all rows; ``sample`` rows give the
-    Euclidean one instead.
+    All runs share their scans. The silhouette is the squared Euclidean one of all rows (as ``evaluate.silhouette_all`` has it), of
+    every k in one more scan of the points; ``sample`` rows give the Euclidean one instead.
     """
-    runs = kmeans.fit_all(scaled, keys, ks, n_init, seed)
+    runs, cheapest = kmeans.fit_measured(scaled, keys, ks, n_init, seed, silhouette=sample is None)
     if not runs:
         raise ValueError("no rows to cluster")
     models, lines = {}, []
-    for k in ks:
-        best = min((r for r in runs if r.k == k), key=lambda r: (r.cost, r.start))
-        flat = kmeans.nearest(scaled, best.centres).select(*keys, "cluster", vector_to_array("features").alias("f"))
-        found = evaluate.silhouette_all(flat, "f", "cluster") if sample is None else evaluate.silhouette(flat, "f", "cluster", keys, sample, seed)
-        sil = found.first()["silhouette"]
+    for k, (best, sil) in cheapest.items():
+        if sample is not None:
+            flat = kmeans.nearest(scaled, best.centres).select(*keys, "cluster", vector_to_array("features").alias("f"))
+            sil = evaluate.silhouette(flat, "f", "cluster", keys, sample, seed).first()["silhouette"]
         models[k] = best
         lines.append((k, best.cost, float("-inf") if sil is None else float(sil)))
     best_k = max(lines, key=lambda x: (x[2], -x[0]))[0]

@@ -410,6 +410,13 @@ def _model_table(spark, d):
     return materialize(master.select(*cols), scratch_folder(spark, "master"))
 
 
+@cache
+def _segment_table(spark, d):
+    """The master with the columns that segments read, written once. Segments read no titles, so none are looked up."""
+    master = build_master(s.tables(spark, d), "etl").select("job_id", "has_salary", *SEGMENT_COLS)
+    return materialize(master, scratch_folder(spark, "segments"))
+
+
 def _spec(kw) -> prepare.FeatureSpec:
     return prepare.text_spec(**{**kw, "categories": prepare.drop_leakage(kw["categories"], LEAKAGE)})
 
@@ -485,7 +492,7 @@ def disclosure_model(spark, d):
 
 @cache
 def segments(spark, d):
-    scaled = models.segment_features(_model_table(spark, d).select("job_id", "has_salary", *SEGMENT_COLS), SEGMENT_COLS)
+    scaled = models.segment_features(_segment_table(spark, d), SEGMENT_COLS)
     return models.fit_kmeans(scaled, ["job_id"]), scaled
 
 
