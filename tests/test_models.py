@@ -365,3 +365,16 @@ def test_silhouettes_of_all_runs_come_from_one_scan(spark, monkeypatch):
         assert kmeans.silhouettes(points, [run]) == [None if want is None else pytest.approx(want, abs=1e-9)]
     monkeypatch.setattr(evaluate, "silhouette_all", None)  # six passes over all rows, each k for itself, before
     assert models.fit_kmeans(df, ["id"], [2, 4], 3).table.count() == 2
+
+
+def test_training_rows_are_dealt_out_by_what_a_forest_keeps_of_them(spark, jobs, monkeypatch):
+    """A few packed files are a few parts, however many rows they hold; the order of the rows dealt out is fixed."""
+    from vacancia.plans import reports_models
+
+    one, how = jobs.coalesce(1), {"tree": lambda *t: models.fit_tree(*t, depth=3)}
+    assert reports_models._Fits(one, SPEC, "pay", how).train.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(reports_models, "_PART_BYTES", 200 * jobs.count() // 4)
+    fits = reports_models._Fits(one, SPEC, "pay", how)
+    sizes = fits.train.rdd.glom().map(len).collect()
+    assert sum(sizes) == jobs.count() and len(sizes) > 4 and max(sizes) < jobs.count() // 2
+    assert fits.train.collect() == reports_models._Fits(jobs.repartition(1), SPEC, "pay", how).train.collect()
