@@ -246,6 +246,12 @@ def distinct_points(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*cols).agg(F.count("*").alias("n")).select("n", *cols)
 
 
+def _cheapest(runs: Sequence[Run]) -> Run:
+    """The run of least cost; of those that differ by rounding alone the first, as their clusters are the same under other numbers."""
+    least = min(r.cost for r in runs)
+    return min((r for r in runs if r.cost <= least * (1 + 1e-12)), key=lambda r: r.start)
+
+
 def fit_all(
     df: DataFrame, keys: Sequence[str], ks: Sequence[int], n_init: int, seed: int = 42, iters: int = 300, tol: float = 1e-4
 ) -> list[Run]:
@@ -289,7 +295,7 @@ def fit_measured(
                     r.end(sums)  # the cost counted is that of these centres
                 else:
                     r.centres, r.iterations = moved, r.iterations + 1
-        cheapest = [min((r for r in runs if r.k == k), key=lambda r: (r.cost, r.start)) for k in ks] if runs else []
+        cheapest = [_cheapest([r for r in runs if r.k == k]) for k in ks] if runs else []
         measured = silhouettes(points, cheapest) if silhouette and cheapest else [None] * len(cheapest)
     finally:
         points.unpersist()
