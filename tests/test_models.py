@@ -378,3 +378,15 @@ def test_training_rows_are_dealt_out_by_what_a_forest_keeps_of_them(spark, jobs,
     sizes = fits.train.rdd.glom().map(len).collect()
     assert sum(sizes) == jobs.count() and len(sizes) > 4 and max(sizes) < jobs.count() // 2
     assert fits.train.collect() == reports_models._Fits(jobs.repartition(1), SPEC, "pay", how).train.collect()
+
+
+def test_class_models_score_in_a_session_that_has_observed(spark, jobs):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    jobs.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == jobs.count()
+    f = prepare.fit_features(jobs, prepare.text_spec(**SPEC))
+    for model in (models.fit_logistic(jobs, "hot", f, iters=20), models.fit_forest_clf(jobs, "hot", f, trees=3, depth=3)):
+        assert model.predict(jobs, "p", "prob").where("prob between 0 and 1").count() == jobs.count()
+        assert len(model.predict(jobs.limit(3), "p", "prob").select("p", "prob").collect()) == 3
